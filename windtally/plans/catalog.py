@@ -19,7 +19,10 @@ from windtally.functions.timewin import SPECS, TWO_HOURS, bucket_label
 from windtally.operators.ranking import ordered_profile, ranking_array, top_n, with_window_max
 from windtally.operators.rollup import count_by, flatten
 from windtally.plans import queries as Q
-from windtally.plans.fixtures import comments_from_events, comments_from_lineitem
+from windtally.operators.quality import rejects, valid_only, with_validity
+from windtally.plans.fixtures import FAULTS, comments_from_events, comments_from_lineitem, wire_from_events
+from windtally.schema import TYPED_COLUMNS
+from windtally.sources.comments import encode_csv, encode_wire, parse_csv_lines, validate_csv
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -164,3 +167,74 @@ _register("rank_lineitem_7d", _rank_sql(_LINEITEM_CTE, "7d"))(
     lambda spark, sf_dir: Q.q1(comments_from_lineitem(spark, sf_dir), chained=False)["7d"])
 _register("profile_lineitem_30d", _profile_sql(_LINEITEM_CTE, "30d"))(
     lambda spark, sf_dir: Q.q2(comments_from_lineitem(spark, sf_dir))["30d"])
+
+
+# ---------------------------------------------- validity, quarantine, codecs
+def _members_sql(ts_unit_us: int) -> str:
+    """DuckDB form of the 15 typed members derived from ``events``.
+    ``ts_unit_us``: precision the wire/CSV keeps for ``createDate`` (1000 = ms)."""
+    return f"""SELECT
+  make_timestamp((epoch_us(ts) // 1000000 + event_id % 3600) * 1000000) AS approve_ts,
+  CAST(user_id AS VARCHAR) AS article_id,
+  CAST(floor(value * 10) AS BIGINT) AS article_word_count,
+  event_id AS comment_id,
+  CASE WHEN event_type = 'click' THEN 'comment' ELSE 'userReply' END AS comment_type,
+  make_timestamp(epoch_us(ts) // {ts_unit_us} * {ts_unit_us}) AS create_ts,
+  CASE WHEN event_type = 'click' THEN 1 ELSE 2 END AS depth,
+  event_type = 'purchase' AS editors_selection,
+  CASE WHEN event_type = 'click' THEN CAST(0 AS BIGINT) ELSE event_id + 1 END AS in_reply_to,
+  CASE WHEN event_type = 'click' THEN '' ELSE 'user ' || (event_id % 97) END AS parent_user_display_name,
+  CAST(floor(value) AS INTEGER) AS recommendations,
+  upper(left(event_type, 1)) || substr(event_type, 2) AS section_name,
+  'user ' || user_id AS user_display_name,
+  user_id,
+  'City ' || (user_id % 50) || ', ' || upper(event_type) AS user_location,
+  event_id % 20 AS fault
+FROM events"""
+
+
+_MEMBERS = ", ".join(c for c in TYPED_COLUMNS if c != "entry_time")
+_REJECTED = ", ".join(str(k) for k, r in FAULTS.items() if r)
+
+
+def _ntz(df):
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.endswith("_ts") else F.col(c)
+                       for c in df.columns])
+
+
+@_register("valid_comments", f"""WITH m AS ({_members_sql(1000)})
+SELECT approve_ts, article_id, article_word_count, comment_id, comment_type, create_ts, depth,
+       CASE WHEN fault = 9 THEN false ELSE editors_selection END AS editors_selection,
+       in_reply_to, parent_user_display_name, recommendations, section_name, user_display_name, user_id,
+       CASE WHEN fault = 12 THEN 'null' ELSE user_location END AS user_location
+FROM m WHERE fault NOT IN ({_REJECTED})""")
+def _valid(spark, sf_dir):
+    """Typed comments that pass every rule (fault-injected wire)."""
+    checked = with_validity(wire_from_events(spark, sf_dir), entry_time=F.lit(0).cast("bigint"))
+    return _ntz(valid_only(checked).drop("entry_time"))
+
+
+_REASON_CASE = " ".join(f"WHEN {k} THEN '{r}'" for k, r in FAULTS.items() if r)
+
+
+@_register("reject_reasons", f"""SELECT CASE event_id % 20 {_REASON_CASE} END AS reject_reason, count(*) AS n
+FROM events WHERE event_id % 20 IN ({_REJECTED}) GROUP BY 1""")
+def _rejects(spark, sf_dir):
+    """P5: quarantine rows counted per reason."""
+    checked = with_validity(wire_from_events(spark, sf_dir), entry_time=F.lit(0).cast("bigint"))
+    return rejects(checked).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_register("json_roundtrip", f"WITH m AS ({_members_sql(1000)}) SELECT {_MEMBERS} FROM m")
+def _json_rt(spark, sf_dir):
+    """S5 then S1/P1-P3: encode every comment as keyed JSON and decode it back."""
+    wire = encode_wire(comments_from_events(spark, sf_dir))
+    return _ntz(valid_only(with_validity(wire, F.lit(0).cast("bigint"))).drop("entry_time"))
+
+
+@_register("csv_roundtrip", f"WITH m AS ({_members_sql(1000000)}) SELECT {_MEMBERS} FROM m")
+def _csv_rt(spark, sf_dir):
+    """Render every comment as a CSV line (quoted commas) and parse it
+    back with the CSV reader's parser and options (epoch seconds)."""
+    lines = encode_csv(comments_from_events(spark, sf_dir))
+    return _ntz(valid_only(validate_csv(parse_csv_lines(lines), F.lit(0).cast("bigint"))).drop("entry_time"))

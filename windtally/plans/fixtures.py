@@ -65,3 +65,67 @@ def comments_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("depth"),
         F.unix_millis(create_ts).alias("entry_time"),
     )
+
+
+# --- fault injection for the validity rules --------------------------------------
+# Every ``events`` row is encoded as a wire message; ``event_id % 20`` only picks
+# which rule (if any) that message breaks.  No row is skipped: all of them go
+# through the validity check, valid or not.
+FAULTS = {
+    0: "value_null",           # message value is NULL
+    1: "not_json",             # value truncated
+    2: "missing:articleId",    # member removed
+    3: "missing:userLocation",  # member removed
+    4: "bad:depth",            # depth = "1.5"
+    5: "bad:depth",            # depth = " 1 " (blanks)
+    6: "bad:userID",           # userID = -4
+    7: "bad:userID",           # userID = 4294967296
+    8: "bad:recommendations",  # recommendations = 2147483648
+    9: None,                   # editorsSelection = "maybe" -> valid, false
+    10: "bad:createDate",      # createDate = "abc"
+    11: "bad:commentID",       # commentID = null
+    12: None,                  # userLocation = null -> valid, text "null"
+    13: None,                  # extra unknown member -> valid
+    14: "bad:approveDate",     # approveDate = ""
+}
+# member -> {fault: replacement text (None = JSON null)}
+_MEMBER_FAULTS = {
+    "depth": {4: "1.5", 5: " 1 "},
+    "userID": {6: "-4", 7: "4294967296"},
+    "recommendations": {8: "2147483648"},
+    "editorsSelection": {9: "maybe"},
+    "createDate": {10: "abc"},
+    "commentID": {11: None},
+    "userLocation": {12: None},
+    "approveDate": {14: ""},
+}
+_REMOVED = {2: "articleId", 3: "userLocation"}
+
+
+def wire_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``key, value`` wire messages for every ``events`` row, with faults.
+
+    Members are carried as JSON text values (``"depth":"1"``), which the
+    rules accept like bare numbers."""
+    from windtally.schema import EPOCH_FIELDS, TYPED_NAME, WIRE_FIELDS
+
+    c = comments_from_events(spark, sf_dir)
+    k = F.col("comment_id") % 20
+    entries = []
+    for f in WIRE_FIELDS:
+        col = F.col(TYPED_NAME[f])
+        text = (F.unix_millis(col) if f in EPOCH_FIELDS else col).cast("string")
+        for fault, repl in _MEMBER_FAULTS.get(f, {}).items():
+            text = F.when(k == fault, F.lit(repl).cast("string")).otherwise(text)
+        entries.append(F.struct(F.lit(f).alias("k"), text.alias("v")))
+    entries.append(F.struct(F.when(k == 13, F.lit("extra")).alias("k"), F.lit("x").alias("v")))
+    dropped = F.lit(None).cast("string")
+    for fault, member in _REMOVED.items():
+        dropped = F.when(k == fault, F.lit(member)).otherwise(dropped)
+    kept = F.filter(F.array(*entries),
+                    lambda e: e["k"].isNotNull() & ~F.coalesce(e["k"] == dropped, F.lit(False)))
+    doc = F.to_json(F.map_from_entries(kept))
+    value = (F.when(k == 0, F.lit(None).cast("string"))
+             .when(k == 1, F.substring(doc, 1, 40))
+             .otherwise(doc))
+    return c.select(F.col("comment_id").cast("string").alias("key"), value.alias("value"))
