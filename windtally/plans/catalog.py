@@ -238,3 +238,31 @@ def _csv_rt(spark, sf_dir):
     back with the CSV reader's parser and options (epoch seconds)."""
     lines = encode_csv(comments_from_events(spark, sf_dir))
     return _ntz(valid_only(validate_csv(parse_csv_lines(lines), F.lit(0).cast("bigint"))).drop("entry_time"))
+
+
+# ------------------------------------------------------------ streaming (T, X)
+def _run_stream(spark, sf_dir, query, window):
+    """Replay ``events`` as a file stream (zero-delay watermark) through the
+    append-mode pipeline; return the windows it closed.  Output and state go
+    to fresh folders under the shared checkpoint root."""
+    from windtally.plans.fixtures import events_stream, events_to_comments
+    from windtally.session import scratch_path
+    from windtally.streaming.runner import start
+
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    handle = start(events_to_comments(events_stream(spark, sf_dir)), query, window, path=out, checkpoint=ck)
+    handle.awaitTermination()
+    if handle.exception() is not None:
+        raise RuntimeError(str(handle.exception()))
+    return spark.read.parquet(out).drop("batch")
+
+
+def _closed(sql: str, width: str) -> str:
+    return (f"SELECT * FROM ({sql}) AS t "
+            f"WHERE window_start + INTERVAL '{width}' <= (SELECT max(ts) FROM events)")
+
+
+_register("stream_rank_7d", _closed(_rank_sql(_EVENTS_CTE, "7d"), "7 days"))(
+    lambda spark, sf_dir: _run_stream(spark, sf_dir, "q1", "7d"))
+_register("stream_profile_24h", _closed(_profile_sql(_EVENTS_CTE, "24h"), "24 hours"))(
+    lambda spark, sf_dir: _run_stream(spark, sf_dir, "q2", "24h"))

@@ -30,7 +30,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def comments_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows of ``events`` as typed comments (``COMMENT_SCHEMA`` order)."""
     ensure_utc(spark)
-    e = table(spark, sf_dir, "events")
+    return events_to_comments(table(spark, sf_dir, "events"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """``events`` read as a file stream (same schema as the batch table)."""
+    ensure_utc(spark)
+    r = (spark.readStream.schema(table(spark, sf_dir, "events").schema)
+         .option("pathGlobFilter", "events.parquet"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.parquet(sf_dir.rstrip("/"))
+
+
+def events_to_comments(e: DataFrame) -> DataFrame:
+    """Typed comments from an ``events``-shaped frame (batch or stream)."""
     click = F.col("event_type") == "click"
     create_ts = F.col("ts").cast("timestamp")
     return e.select(
