@@ -23,35 +23,39 @@ ROWS = [
 
 @pytest.fixture(scope="module")
 def edge(spark):
-    df = spark.createDataFrame([(r[0],) for r in ROWS], "s string")
-    ts = F.to_timestamp("s")
-    return df.select(
-        "s",
-        HOUR.over(ts).start.cast("string").alias("h"),
-        DAY.over(ts).start.cast("date").cast("string").alias("d"),
-        WEEK.over(ts).start.cast("date").cast("string").alias("w"),
-        DAYS30.over(ts).start.cast("date").cast("string").alias("m"),
-        bucket_label(ts).alias("b"),
-        TWO_HOURS.over(ts).start.cast("string").alias("two"),
-    ).orderBy("s").collect()
+    df = spark.createDataFrame([(r[0],) for r in ROWS], "s string").select("s", F.to_timestamp("s").alias("ts"))
+
+    def one(spec, fmt):
+        # one window expression per projection (Spark allows only one)
+        rows = df.select("s", spec.over("ts").start.alias("x")).collect()
+        return {r.s: fmt(r.x) for r in rows}
+
+    h = one(HOUR, lambda x: str(x))
+    d = one(DAY, lambda x: str(x.date()))
+    w = one(WEEK, lambda x: str(x.date()))
+    m = one(DAYS30, lambda x: str(x.date()))
+    two = one(TWO_HOURS, lambda x: str(x))
+    b = {r.s: r.b for r in df.select("s", bucket_label("ts").alias("b")).collect()}
+    return {k: (h[k], d[k], w[k], m[k], b[k], two[k]) for k in h}
 
 
 def test_edges(edge):
-    got = {r.s: (r.h, r.d, r.w, r.m, r.b) for r in edge}
     for s, h, d, w, m, b in ROWS:
-        assert got[s] == (h, d, w, m, b), s
+        assert edge[s][:5] == (h, d, w, m, b), s
 
 
 def test_bucket_is_two_hour_window_start(edge):
-    for r in edge:
-        assert r.two[11:19] == r.b
+    for v in edge.values():
+        assert v[5][11:19] == v[4]
 
 
 def test_chained_window_equals_direct(spark):
     df = spark.createDataFrame([(r[0],) for r in ROWS], "s string").select(F.to_timestamp("s").alias("ts"))
     fine = df.select(HOUR.over("ts").alias("window"), "ts")
-    got = fine.select(WEEK.over_window("window").start.alias("a"), WEEK.over("ts").start.alias("b")).collect()
-    assert all(r.a == r.b for r in got)
+    a = fine.select("ts", WEEK.over_window("window").start.alias("a"))
+    b = df.select("ts", WEEK.over("ts").start.alias("b"))
+    got = a.join(b, "ts").collect()
+    assert len(got) == len(ROWS) and all(r.a == r.b for r in got)
 
 
 def test_weeks_start_monday(spark):
