@@ -228,7 +228,7 @@ def _rejects(spark, sf_dir):
 @_register("json_roundtrip", f"WITH m AS ({_members_sql(1000)}) SELECT {_MEMBERS} FROM m")
 def _json_rt(spark, sf_dir):
     """S5 then S1/P1-P3: encode every comment as keyed JSON and decode it back."""
-    wire = encode_wire(comments_from_events(spark, sf_dir))
+    wire = encode_wire(comments_from_events(spark, sf_dir, spread_input=True))
     return _ntz(valid_only(with_validity(wire, F.lit(0).cast("bigint"))).drop("entry_time"))
 
 
@@ -236,7 +236,7 @@ def _json_rt(spark, sf_dir):
 def _csv_rt(spark, sf_dir):
     """Render every comment as a CSV line (quoted commas) and parse it
     back with the CSV reader's parser and options (epoch seconds)."""
-    lines = encode_csv(comments_from_events(spark, sf_dir))
+    lines = encode_csv(comments_from_events(spark, sf_dir, spread_input=True))
     return _ntz(valid_only(validate_csv(parse_csv_lines(lines), F.lit(0).cast("bigint"))).drop("entry_time"))
 
 

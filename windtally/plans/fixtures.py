@@ -20,17 +20,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windtally.schema import TYPED_COLUMNS
-from windtally.session import ensure_utc
+from windtally.session import ensure_utc, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def comments_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rows of ``events`` as typed comments (``COMMENT_SCHEMA`` order)."""
+def comments_from_events(spark: SparkSession, sf_dir: str, spread_input: bool = False) -> DataFrame:
+    """All rows of ``events`` as typed comments (``COMMENT_SCHEMA`` order).
+
+    ``spread_input`` spreads a scan with fewer splits than task slots before
+    CPU-heavy per-row work (see ``session.spread``)."""
     ensure_utc(spark)
-    return events_to_comments(table(spark, sf_dir, "events"))
+    e = table(spark, sf_dir, "events")
+    return events_to_comments(spread(e) if spread_input else e)
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -123,7 +127,7 @@ def wire_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules accept like bare numbers."""
     from windtally.schema import EPOCH_FIELDS, TYPED_NAME, WIRE_FIELDS
 
-    c = comments_from_events(spark, sf_dir)
+    c = comments_from_events(spark, sf_dir, spread_input=True)
     k = F.col("comment_id") % 20
     entries = []
     for f in WIRE_FIELDS:

@@ -77,3 +77,17 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the task slots, but only when its input has
+    fewer partitions than there are slots.
+
+    For CPU-heavy per-row stages (JSON/CSV decoding) fed by a source with few
+    splits (one Parquet row group, a 3-partition topic).  On large inputs the
+    scan already yields far more splits than slots and nothing is added.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
