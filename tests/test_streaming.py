@@ -71,3 +71,15 @@ def test_restart_no_duplicates(spark, scratch):
     start(c, "q2", "24h", path=out, checkpoint=ck).awaitTermination()
     again = sorted(spark.read.parquet(out).drop("batch").collect())
     assert first == again and len(first) > 0
+
+
+def test_stream_latency_rank_equals_batch(spark, scratch):
+    out, ck = scratch("out"), scratch("ck")
+    h = start(events_to_comments(events_stream(spark, SF_SMALL)), "q1", "24h", path=out, checkpoint=ck, latency=True)
+    h.awaitTermination()
+    streamed = spark.read.parquet(out).drop("batch")
+    assert "max_entry_time" in streamed.columns
+    batch = QUERIES["rank_article_24h_entry"](spark, SF_SMALL)
+    max_ts = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
+    closed = batch.filter(F.col("window_start") + F.expr("INTERVAL 24 HOURS") <= F.lit(max_ts))
+    assert sorted(streamed.collect()) == sorted(closed.collect()) and streamed.count() > 0

@@ -119,7 +119,7 @@ for _w in ("1h", "24h", "7d"):
         lambda spark, sf_dir, w=_w: Q.q1(comments_from_events(spark, sf_dir), chained=False)[w])
     # Top-3 plus max ingest time over the whole window
     _register(f"rank_article_{_w}_entry", _rank_sql(_EVENTS_CTE, _w, entry=True))(
-        lambda spark, sf_dir, w=_w: Q.q1(comments_from_events(spark, sf_dir), latency=True)[w])
+        lambda spark, sf_dir, w=_w: Q.q1(comments_from_events(spark, sf_dir), latency=True, chained=False)[w])
     # rendered ranking line per window
     _register(f"rank_lines_{_w}", _rank_lines_sql(_EVENTS_CTE, _w))(
         lambda spark, sf_dir, w=_w: ranking_line(ranking_array(

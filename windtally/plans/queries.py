@@ -28,15 +28,21 @@ def direct_only(comments: DataFrame) -> DataFrame:
     return comments.filter(F.col("depth") == 1)
 
 
-def article_counts(comments: DataFrame, latency: bool = False, chained: bool = True) -> dict[str, DataFrame]:
+def article_counts(comments: DataFrame, latency: bool = False, chained: bool = True,
+                   window_totals: bool = False) -> dict[str, DataFrame]:
     """Per-(window, article) counts for 1h / 24h / 7d (window struct kept)."""
     cols = ["article_id", "create_ts"] + (["entry_time"] if latency else [])
-    return hierarchy(comments.select(*cols), Q1_SPECS, ["article_id"], with_entry=latency, chained=chained)
+    return hierarchy(comments.select(*cols), Q1_SPECS, ["article_id"], with_entry=latency, chained=chained,
+                     window_totals=window_totals)
 
 
 def q1(comments: DataFrame, latency: bool = False, chained: bool = True) -> dict[str, DataFrame]:
-    """Ranked rows ``window_start, rnk, article_id, n[, max_entry_time]`` per window size."""
-    return {name: top_n(flatten(agg)) for name, agg in article_counts(comments, latency, chained).items()}
+    """Ranked rows ``window_start, rnk, article_id, n[, max_entry_time]`` per window size.
+
+    In latency mode each level also carries its per-window totals, from which
+    the ranking takes the window-wide ``max_entry_time``."""
+    levels = article_counts(comments, latency, chained, window_totals=latency)
+    return {name: top_n(flatten(agg)) for name, agg in levels.items()}
 
 
 def q1_lines(comments: DataFrame, latency: bool = False) -> dict[str, DataFrame]:
