@@ -22,7 +22,7 @@ HEADLINE = [
     "rollup_article_7d", "profile_24h", "profile_7d", "profile_30d", "profile_7d_entry",
     "rank_lines_1h", "profile_lines_24h", "valid_comments", "reject_reasons",
     "json_roundtrip", "csv_roundtrip", "rank_lineitem_24h", "rank_lineitem_7d",
-    "profile_lineitem_30d", "stream_rank_7d", "stream_profile_24h",
+    "profile_lineitem_30d", "stream_rank_7d", "stream_profile_24h", "stream_profile_lines_7d",
 ]
 
 

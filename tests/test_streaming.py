@@ -83,3 +83,16 @@ def test_stream_latency_rank_equals_batch(spark, scratch):
     max_ts = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
     closed = batch.filter(F.col("window_start") + F.expr("INTERVAL 24 HOURS") <= F.lit(max_ts))
     assert sorted(streamed.collect()) == sorted(closed.collect()) and streamed.count() > 0
+
+
+def test_native_profile_stream_equals_batch_lines(spark, scratch):
+    from windtally.streaming.runner import profile_lines_stream, start_native
+
+    out, ck = scratch("out"), scratch("ck")
+    lines = profile_lines_stream(events_to_comments(events_stream(spark, SF_SMALL)), "24h")
+    start_native(lines, checkpoint=ck, sink="parquet", path=out).awaitTermination()
+    streamed = spark.read.parquet(out)
+    batch = QUERIES["profile_lines_24h"](spark, SF_SMALL)
+    max_ts = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
+    closed = batch.filter(F.col("window_start") + F.expr("INTERVAL 24 HOURS") <= F.lit(max_ts))
+    assert sorted(streamed.collect()) == sorted(closed.collect()) and streamed.count() > 0

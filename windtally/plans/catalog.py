@@ -266,3 +266,23 @@ _register("stream_rank_7d", _closed(_rank_sql(_EVENTS_CTE, "7d"), "7 days"))(
     lambda spark, sf_dir: _run_stream(spark, sf_dir, "q1", "7d"))
 _register("stream_profile_24h", _closed(_profile_sql(_EVENTS_CTE, "24h"), "24 hours"))(
     lambda spark, sf_dir: _run_stream(spark, sf_dir, "q2", "24h"))
+
+
+
+def _run_native_profile(spark, sf_dir, window):
+    """Q2 lines fully in streaming state, written by the native file sink."""
+    from windtally.plans.fixtures import events_stream, events_to_comments
+    from windtally.session import scratch_path
+    from windtally.streaming.runner import profile_lines_stream, start_native
+
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    lines = profile_lines_stream(events_to_comments(events_stream(spark, sf_dir)), window)
+    handle = start_native(lines, checkpoint=ck, sink="parquet", path=out)
+    handle.awaitTermination()
+    if handle.exception() is not None:
+        raise RuntimeError(str(handle.exception()))
+    return spark.read.parquet(out)
+
+
+_register("stream_profile_lines_7d", _closed(_profile_lines_sql(_EVENTS_CTE, "7d"), "7 days"))(
+    lambda spark, sf_dir: _run_native_profile(spark, sf_dir, "7d"))

@@ -45,12 +45,19 @@ def json_comments(spark: SparkSession, path: str, stream: bool = False,
 
 
 def kafka_options(bootstrap_servers: str, topic: str, *, group_id: str | None = None,
-                  starting_offsets: str = "earliest", **extra: str) -> dict[str, str]:
-    """Reader options for the keyed-JSON topic."""
+                  starting_offsets: str = "earliest", min_partitions: int | None = None,
+                  **extra: str) -> dict[str, str]:
+    """Reader options for the keyed-JSON topic.
+
+    ``min_partitions`` splits the offset ranges of a topic with few
+    partitions (the reference topic has 3) into more Spark tasks, so JSON
+    decoding is not limited to one core per topic partition."""
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
             "startingOffsets": starting_offsets}
     if group_id:
         opts["kafka.group.id"] = group_id
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(extra)
     return opts
 

@@ -102,3 +102,39 @@ def start(comments: DataFrame, query: str, window: str, *, path: str, checkpoint
         w = w.queryName(name)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
+
+
+def profile_lines_stream(comments: DataFrame, window: str, delay: str = "0 seconds") -> DataFrame:
+    """Q2 entirely in append-mode state: 2 h counts -> ``window`` sums ->
+    one ordered profile line per closed window.
+
+    Unlike the top-3 ranking, the profile is bounded (at most 12 buckets per
+    window), so the per-window list may live in state and the result can go
+    to any native streaming sink (text, Kafka) without ``foreachBatch``."""
+    from pyspark.sql import functions as F
+
+    from windtally.functions.render import ARROW, PROFILE_ITEM, window_label
+
+    per_bucket = window_counts(comments, "q2", window, delay=delay)
+    spec = Q2_SPEC[window]
+    per_window = per_bucket.groupBy(spec.over_window("window").alias("window")).agg(
+        F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("profile"))
+    items = F.array_join(F.transform("profile", lambda x: F.concat(
+        F.lit(PROFILE_ITEM[0]), x["bucket"], F.lit(PROFILE_ITEM[1]), x["n"].cast("string"),
+        F.lit(PROFILE_ITEM[2]))), "")
+    start_ntz = F.col("window.start").cast("timestamp_ntz")
+    return per_window.select(start_ntz.alias("window_start"),
+                             F.concat(window_label(start_ntz), F.lit(ARROW), items).alias("value"))
+
+
+def start_native(lines: DataFrame, *, checkpoint: str, sink: str = "text", path: str | None = None,
+                 kafka_options: dict[str, str] | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Append-mode stream straight to a file or Kafka sink (no foreachBatch)."""
+    if sink == "kafka":
+        lines = lines.select("value")
+    w = lines.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if sink == "kafka":
+        w = w.format("kafka").options(**(kafka_options or {}))
+    else:
+        w = w.format(sink).option("path", path)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
