@@ -4,7 +4,7 @@
 Catalyst turns the filter into a ``WindowGroupLimit`` that keeps only ``n``
 rows per window inside every map task *before* the shuffle, so a window with
 millions of articles still sends at most ``n`` rows per task to the final
-ranking — the reference's single gathering task is gone.
+ranking — no single task ever gathers a whole window.
 
 Tie order (a deliberate, documented choice): count descending, then key
 ascending, so results are deterministic.

@@ -50,7 +50,7 @@ def kafka_options(bootstrap_servers: str, topic: str, *, group_id: str | None =
     """Reader options for the keyed-JSON topic.
 
     ``min_partitions`` splits the offset ranges of a topic with few
-    partitions (the reference topic has 3) into more Spark tasks, so JSON
+    partitions (e.g. 3) into more Spark tasks, so JSON
     decoding is not limited to one core per topic partition."""
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
             "startingOffsets": starting_offsets}
