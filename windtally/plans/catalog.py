@@ -250,7 +250,8 @@ def _run_stream(spark, sf_dir, query, window):
     from windtally.streaming.runner import start
 
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    handle = start(events_to_comments(events_stream(spark, sf_dir)), query, window, path=out, checkpoint=ck)
+    handle = start(events_to_comments(events_stream(spark, sf_dir)), query, window, path=out, checkpoint=ck,
+                   state_partitions=spark.sparkContext.defaultParallelism)
     handle.awaitTermination()
     if handle.exception() is not None:
         raise RuntimeError(str(handle.exception()))
@@ -277,7 +278,8 @@ def _run_native_profile(spark, sf_dir, window):
 
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     lines = profile_lines_stream(events_to_comments(events_stream(spark, sf_dir)), window)
-    handle = start_native(lines, checkpoint=ck, sink="parquet", path=out)
+    handle = start_native(lines, checkpoint=ck, sink="parquet", path=out,
+                          state_partitions=spark.sparkContext.defaultParallelism)
     handle.awaitTermination()
     if handle.exception() is not None:
         raise RuntimeError(str(handle.exception()))

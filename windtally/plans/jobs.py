@@ -76,7 +76,8 @@ def start_streams(comments: DataFrame, query: str, *, out: str, checkpoint: str,
             comments, query, w, path=f"{out}/{topic}", checkpoint=f"{checkpoint}/{topic}",
             fmt="rows" if sink == "parquet" else "lines", latency=latency, delay=delay, sink=sink,
             kafka_options={**(kafka or {}), "topic": topic} if sink == "kafka" else None,
-            trigger=trigger, name=topic.replace("-", "_")))
+            trigger=trigger, name=topic.replace("-", "_"),
+            state_partitions=comments.sparkSession.sparkContext.defaultParallelism))
     return handles
 
 

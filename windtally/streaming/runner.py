@@ -89,11 +89,31 @@ def batch_writer(path: str, query: str, fmt: str = "rows", latency: bool = False
     return write
 
 
+def _start_with_partitions(writer, spark, state_partitions: int | None) -> StreamingQuery:
+    """Start ``writer``; with ``state_partitions`` the shuffle/state partition
+    count is set only while the query starts (the stream keeps its own copy
+    of the session conf, and the count is then fixed by the checkpoint)."""
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 def start(comments: DataFrame, query: str, window: str, *, path: str, checkpoint: str,
           fmt: str = "rows", latency: bool = False, delay: str = "0 seconds",
           sink: str = "parquet", kafka_options: dict[str, str] | None = None,
-          trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """Start one continuous result (one of the six) and return its handle."""
+          trigger: dict | None = None, name: str | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
+    """Start one continuous result (one of the six) and return its handle.
+
+    ``state_partitions``: number of state-store partitions per stateful
+    operator (default: the session's shuffle partitions); size it to the
+    cluster's cores, it cannot change for an existing checkpoint."""
     counts = window_counts(comments, query, window, latency, delay)
     w = (counts.writeStream.outputMode("append")
          .option("checkpointLocation", checkpoint)
@@ -101,7 +121,7 @@ def start(comments: DataFrame, query: str, window: str, *, path: str, checkpoint
     if name:
         w = w.queryName(name)
     w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    return _start_with_partitions(w, comments.sparkSession, state_partitions)
 
 
 def profile_lines_stream(comments: DataFrame, window: str, delay: str = "0 seconds") -> DataFrame:
@@ -128,7 +148,8 @@ def profile_lines_stream(comments: DataFrame, window: str, delay: str = "0 secon
 
 
 def start_native(lines: DataFrame, *, checkpoint: str, sink: str = "text", path: str | None = None,
-                 kafka_options: dict[str, str] | None = None, trigger: dict | None = None) -> StreamingQuery:
+                 kafka_options: dict[str, str] | None = None, trigger: dict | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """Append-mode stream straight to a file or Kafka sink (no foreachBatch)."""
     if sink == "kafka":
         lines = lines.select("value")
@@ -137,4 +158,5 @@ def start_native(lines: DataFrame, *, checkpoint: str, sink: str = "text", path:
         w = w.format("kafka").options(**(kafka_options or {}))
     else:
         w = w.format(sink).option("path", path)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    w = w.trigger(**(trigger or {"availableNow": True}))
+    return _start_with_partitions(w, lines.sparkSession, state_partitions)
