@@ -18,6 +18,7 @@ from windtally.functions.render import profile_line, ranking_line
 from windtally.functions.timewin import DAY, DAYS30, HOUR, TWO_HOURS, WEEK, bucket_label
 from windtally.operators.ranking import ordered_profile, ranking_array, top_n
 from windtally.operators.rollup import count_by, flatten, hierarchy, rollup
+from windtally.session import ensure_utc
 
 Q1_SPECS = (HOUR, DAY, WEEK)
 Q2_SPECS = (DAY, WEEK, DAYS30)
@@ -31,6 +32,7 @@ def direct_only(comments: DataFrame) -> DataFrame:
 def article_counts(comments: DataFrame, latency: bool = False, chained: bool = True,
                    window_totals: bool = False) -> dict[str, DataFrame]:
     """Per-(window, article) counts for 1h / 24h / 7d (window struct kept)."""
+    ensure_utc(comments.sparkSession)
     cols = ["article_id", "create_ts"] + (["entry_time"] if latency else [])
     return hierarchy(comments.select(*cols), Q1_SPECS, ["article_id"], with_entry=latency, chained=chained,
                      window_totals=window_totals)
@@ -56,6 +58,7 @@ def bucket_counts(comments: DataFrame, latency: bool = False) -> DataFrame:
     aggregated row instead of once per input comment, and the first shuffle
     is keyed only by the window.
     """
+    ensure_utc(comments.sparkSession)  # bucket labels and window starts are UTC wall clock
     cols = ["create_ts"] + (["entry_time"] if latency else [])
     two_h = count_by(direct_only(comments).select(*cols), TWO_HOURS, with_entry=latency)
     return two_h.withColumn("bucket", bucket_label(F.col("window.start")))
