@@ -25,8 +25,11 @@ no Python runs per row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windtally.schema import (BOOL_FIELDS, EPOCH_FIELDS, INT_FIELDS, STRING_FIELDS, TYPED_COLUMNS,
                               TYPED_NAME, UNSIGNED_FIELDS, WIRE_FIELDS)
@@ -59,29 +62,34 @@ def _int_ok(t: Column) -> Column:
     return _ok(t.rlike(SIGNED_DIGITS) & t.try_cast("int").isNotNull())
 
 
-def field_checks(m: Column, time_unit: str = "ms") -> list[tuple[Column, str]]:
-    """``(ok, reason)`` per rule, in the order the rules are applied."""
+Getter = Callable[[str], Column]
+
+
+def field_checks(get: Getter, present: Getter, time_unit: str = "ms") -> list[tuple[Column, str]]:
+    """``(ok, reason)`` per rule, in the order the rules are applied.
+
+    ``get(member)`` is the member's text, ``present(member)`` whether the
+    member exists at all (a JSON null exists)."""
     limit = MAX_EPOCH_MS if time_unit == "ms" else MAX_EPOCH_S
-    present = [(_ok(F.map_contains_key(m, f)), f"missing:{f}") for f in WIRE_FIELDS]
-    typed = []
+    checks = [(_ok(present(f)), f"missing:{f}") for f in WIRE_FIELDS]
     for f in WIRE_FIELDS:
-        t = m[f]
+        t = get(f)
         if f in EPOCH_FIELDS:
-            typed.append((_epoch_ok(t, limit), f"bad:{f}"))
+            checks.append((_epoch_ok(t, limit), f"bad:{f}"))
         elif f in UNSIGNED_FIELDS:
-            typed.append((_unsigned_ok(t), f"bad:{f}"))
+            checks.append((_unsigned_ok(t), f"bad:{f}"))
         elif f in INT_FIELDS:
-            typed.append((_int_ok(t), f"bad:{f}"))
-    return present + typed
+            checks.append((_int_ok(t), f"bad:{f}"))
+    return checks
 
 
-def typed_members(m: Column, time_unit: str = "ms") -> list[Column]:
-    """The 15 typed columns read from a ``map<string,string>`` of members.
-    Only meaningful where the row is valid (guarded by the caller)."""
+def typed_members(get: Getter, time_unit: str = "ms") -> list[tuple[str, Column]]:
+    """The 15 typed columns from the members' text.  Only meaningful where
+    the row is valid (guarded by the caller)."""
     to_ts = F.timestamp_millis if time_unit == "ms" else F.timestamp_seconds
     cols = []
     for f in WIRE_FIELDS:
-        t = m[f]
+        t = get(f)
         if f in EPOCH_FIELDS:
             c = to_ts(t.try_cast("bigint"))
         elif f in UNSIGNED_FIELDS:
@@ -97,29 +105,27 @@ def typed_members(m: Column, time_unit: str = "ms") -> list[Column]:
     return cols
 
 
-def validate_members(df: DataFrame, members: Column, pre_checks: list[tuple[Column, str]],
-                     time_unit: str, keep: list[str]) -> DataFrame:
+def validate_members(staged: DataFrame, get: Getter, present: Getter,
+                     pre_checks: list[tuple[Column, str]], time_unit: str, keep: list[str]) -> DataFrame:
     """Shared core of JSON and CSV validation.
 
-    The document is parsed once into ``__m``; every rule and typed member is
-    read from that map inside one projection.  The result passes through
-    ``inline(array(struct(...)))`` — exactly one output row per input row —
-    which Catalyst does not push filters through.  Without that barrier a
-    later ``filter(is_valid)`` is pushed below the projection and the parse
-    is substituted into every rule term (measured: ~40 parses per row).
+    ``staged`` holds the parsed members (read through ``get``/``present``);
+    every rule and typed member is computed inside one projection.  The
+    result passes through ``inline(array(struct(...)))`` — exactly one output
+    row per input row — which Catalyst does not push filters through.
+    Without that barrier a later ``filter(is_valid)`` is pushed below the
+    projection and the parse is substituted into every rule term (measured:
+    ~40 parses per row).
     """
-    m = "__m"
-    staged = df.select(*keep, members.alias(m))
-    checks = [(ok, r) for ok, r in pre_checks] + field_checks(F.col(m), time_unit)
+    checks = list(pre_checks) + field_checks(get, present, time_unit)
     # First failing rule: all rule flags are evaluated as one flat array and the
     # reason is looked up by position.  (A nested coalesce(when(...)) chain of
     # the same rules compiles to deeply nested code and ran ~3x slower.)
     oks = F.array(*[ok for ok, _ in checks])
     reasons = F.array(*[F.lit(r) for _, r in checks])
-    pos = F.array_position(oks, False).cast("int")
-    staged = staged.select("*", pos.alias("__pos"))
+    staged = staged.select("*", F.array_position(oks, False).cast("int").alias("__pos"))
     reason = F.when(F.col("__pos") > 0, F.element_at(reasons, F.col("__pos")))
-    typed = [c.alias(TYPED_NAME[f]) for f, c in typed_members(F.col(m), time_unit)]
+    typed = [c.alias(TYPED_NAME[f]) for f, c in typed_members(get, time_unit)]
     row = F.struct(*[F.col(k) for k in keep], *typed, reason.alias("reject_reason"))
     out = staged.select(F.inline(F.array(row)))
     valid = F.col("reject_reason").isNull()
@@ -127,17 +133,29 @@ def validate_members(df: DataFrame, members: Column, pre_checks: list[tuple[Colu
                       valid.alias("is_valid"), "reject_reason")
 
 
+# Every member parsed as text: numbers, booleans and nested values keep their
+# JSON text, a JSON null stays NULL.
+_MEMBERS_AS_TEXT = T.StructType([T.StructField(f, T.StringType(), True) for f in WIRE_FIELDS])
+
+
 def with_validity(envelope: DataFrame, entry_time: Column | None = None) -> DataFrame:
     """Validate a Kafka-shaped frame (``key``, ``value`` JSON text, ...).
 
     Returns ``key, value, <15 typed>, entry_time, is_valid, reject_reason``.
     ``entry_time`` defaults to the ingest clock (epoch ms, constant within a
     query execution / micro-batch).
+
+    The document is parsed into a struct of 15 text members (O(1) member
+    access) and its top-level key list; the key list tells an absent member
+    from a JSON null and is NULL for anything that is not a JSON object.
     """
-    members = F.from_json(F.col("value"), "map<string,string>")
+    staged = envelope.select("key", "value",
+                             F.from_json(F.col("value"), _MEMBERS_AS_TEXT).alias("__s"),
+                             F.json_object_keys(F.col("value")).alias("__k"))
     pre = [(F.col("value").isNotNull(), "value_null"),
-           (F.col("__m").isNotNull(), "not_json")]
-    out = validate_members(envelope, members, pre, "ms", ["key", "value"])
+           (F.col("__k").isNotNull(), "not_json")]
+    out = validate_members(staged, lambda f: F.col("__s").getField(f),
+                           lambda f: F.array_contains(F.col("__k"), f), pre, "ms", ["key", "value"])
     et = entry_time if entry_time is not None else F.unix_millis(F.current_timestamp())
     return out.withColumn("entry_time", et)
 

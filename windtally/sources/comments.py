@@ -108,8 +108,12 @@ def csv_members(row_cols: DataFrame | None = None) -> Column:
 
 
 def validate_csv(rows: DataFrame, entry_time: Column | None = None) -> DataFrame:
-    """Validate parsed CSV rows (15 string columns); dates are epoch seconds."""
-    out = validate_members(rows, csv_members(), [], "s", [])
+    """Validate parsed CSV rows (15 string columns); dates are epoch seconds.
+    Every member is present in a CSV row; a missing number is NULL and fails
+    its typed rule."""
+    staged = rows.select(csv_members().alias("__m"))
+    out = validate_members(staged, lambda f: F.col("__m")[f], lambda f: F.map_contains_key(F.col("__m"), f),
+                           [], "s", [])
     et = entry_time if entry_time is not None else F.unix_millis(F.current_timestamp())
     return out.withColumn("entry_time", et)
 
