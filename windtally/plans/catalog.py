@@ -288,3 +288,23 @@ def _run_native_profile(spark, sf_dir, window):
 
 _register("stream_profile_lines_7d", _closed(_profile_lines_sql(_EVENTS_CTE, "7d"), "7 days"))(
     lambda spark, sf_dir: _run_native_profile(spark, sf_dir, "7d"))
+
+
+def _run_stream_latency(spark, sf_dir, window):
+    """Q1 with latency tracking through the stream: the ranked rows carry the
+    window-wide maximum ingest time."""
+    from windtally.plans.fixtures import events_stream, events_to_comments
+    from windtally.session import scratch_path
+    from windtally.streaming.runner import start
+
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    handle = start(events_to_comments(events_stream(spark, sf_dir)), "q1", window, path=out, checkpoint=ck,
+                   latency=True, state_partitions=spark.sparkContext.defaultParallelism)
+    handle.awaitTermination()
+    if handle.exception() is not None:
+        raise RuntimeError(str(handle.exception()))
+    return spark.read.parquet(out).drop("batch")
+
+
+_register("stream_rank_1h_entry", _closed(_rank_sql(_EVENTS_CTE, "1h", entry=True), "1 hour"))(
+    lambda spark, sf_dir: _run_stream_latency(spark, sf_dir, "1h"))

@@ -87,6 +87,8 @@ def spread(df, min_partitions: int | None = None):
     splits (one Parquet row group, a 3-partition topic).  On large inputs the
     scan already yields far more splits than slots and nothing is added.
     """
+    if df.isStreaming:  # a stream's splits are per micro-batch; use source options
+        return df
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < n:
         return df.repartition(n)
