@@ -34,6 +34,8 @@ def main(argv: list[str], spark=None) -> int:
     p.add_argument("--brokers")
     p.add_argument("--topic", default=None)
     p.add_argument("--quarantine")
+    p.add_argument("--stage", help="stream mode: decode/validate once into this Parquet stage "
+                                   "(rejects included) and run the three results from it")
     a = p.parse_args(argv)
 
     q = {"query1": "q1", "q1": "q1", "query2": "q2", "q2": "q2"}.get(a.query.lower())
@@ -65,7 +67,13 @@ def main(argv: list[str], spark=None) -> int:
             checked = src.kafka_comments(spark, src.kafka_options(a.brokers, a.topic or INPUT_TOPIC), stream=a.stream)
         comments = valid_only(checked)
 
-    if a.stream:
+    if a.stream and a.stage and checked is not None:
+        ck = a.checkpoint or f"{checkpoint_root(spark)}/{q}"
+        handles = jobs.start_staged(checked, q, stage=a.stage, out=a.out, checkpoint=ck, sink=a.sink,
+                                    latency=latency, delay=a.delay, kafka=kafka)
+        for h in handles:
+            h.awaitTermination()
+    elif a.stream:
         ck = a.checkpoint or f"{checkpoint_root(spark)}/{q}"
         handles = jobs.start_streams(comments, q, out=a.out, checkpoint=ck, sink=a.sink, latency=latency,
                                      delay=a.delay, kafka=kafka)

@@ -68,7 +68,7 @@ def write_batch(results: dict[str, DataFrame], query: str, sink: str, out: str |
 def start_streams(comments: DataFrame, query: str, *, out: str, checkpoint: str, sink: str = "text",
                   latency: bool = False, delay: str = "0 seconds", trigger: dict | None = None,
                   kafka: dict[str, str] | None = None) -> list[StreamingQuery]:
-    """Start the three continuous results of ``query``."""
+    """Start the three continuous results of ``query`` on one comment stream."""
     handles = []
     for w in WINDOWS[query]:
         topic = RESULT_TOPICS[(query, w)]
@@ -91,3 +91,20 @@ def publish(checked: DataFrame, sink: str, out: str | None = None, kafka: dict[s
         wire.write.mode("overwrite").json(out)
     if quarantine:
         rejects(checked).write.mode("overwrite").parquet(quarantine)
+
+
+def start_staged(checked: DataFrame, query: str, *, stage: str, out: str, checkpoint: str,
+                 sink: str = "text", latency: bool = False, delay: str = "0 seconds",
+                 trigger: dict | None = None, kafka: dict[str, str] | None = None) -> list[StreamingQuery]:
+    """Decode/validate once into ``stage`` (valid rows + quarantine), then run
+    the three results of ``query`` from the stage.
+
+    With the default ``availableNow`` trigger the stage is completed before
+    the results start; with a processing-time trigger all four run together
+    and the results pick up each committed stage file."""
+    staging = runner.start_staging(checked, stage=stage, checkpoint=f"{checkpoint}/stage", trigger=trigger)
+    if not trigger or "availableNow" in trigger or "once" in trigger:
+        staging.awaitTermination()
+    comments = runner.staged_comments(checked.sparkSession, stage)
+    return [staging] + start_streams(comments, query, out=out, checkpoint=checkpoint, sink=sink,
+                                     latency=latency, delay=delay, trigger=trigger, kafka=kafka)

@@ -160,3 +160,46 @@ def start_native(lines: DataFrame, *, checkpoint: str, sink: str = "text", path:
         w = w.format(sink).option("path", path)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return _start_with_partitions(w, lines.sparkSession, state_partitions)
+
+
+# ------------------------------------------------------------------ staging
+def stage_rows(checked: DataFrame) -> DataFrame:
+    """Validated rows for the stage: typed members, verdict, and the raw
+    message only for rejects (the quarantine)."""
+    from pyspark.sql import functions as F
+
+    from windtally.schema import TYPED_COLUMNS
+
+    bad = ~F.col("is_valid")
+    return checked.select(*TYPED_COLUMNS, "is_valid", "reject_reason",
+                          F.when(bad, F.col("key")).alias("raw_key"),
+                          F.when(bad, F.col("value")).alias("raw_value"))
+
+
+def start_staging(checked: DataFrame, *, stage: str, checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Decode + validate the source stream **once** into a Parquet stage.
+
+    The file sink commits through its metadata log, so the stage is
+    exactly-once even when a batch is retried; every result stream then reads
+    the stage (columnar, pruned to the columns it needs) instead of
+    re-reading and re-parsing the topic once per result."""
+    w = (stage_rows(checked).writeStream.format("parquet").outputMode("append")
+         .option("path", stage).option("checkpointLocation", checkpoint))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def staged_comments(spark, stage: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Valid typed comments from the stage, as a stream."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from windtally.schema import COMMENT_SCHEMA, TYPED_COLUMNS
+
+    schema = T.StructType(COMMENT_SCHEMA.fields + [
+        T.StructField("is_valid", T.BooleanType()), T.StructField("reject_reason", T.StringType()),
+        T.StructField("raw_key", T.StringType()), T.StructField("raw_value", T.StringType())])
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.parquet(stage).filter(F.col("is_valid")).select(*TYPED_COLUMNS)
