@@ -78,6 +78,29 @@ def main() -> None:
     two_h.unpersist()
     times["q2_all"] = round(time.perf_counter() - t, 3)
 
+    # Streaming throughput and state size: Q1 7-day ranking over ``events``
+    # replayed as a file stream, chained (1h -> 24h -> 7d) and direct.
+    from windtally.plans.fixtures import events_stream, events_to_comments
+    from windtally.session import scratch_path
+    from windtally.streaming.runner import start
+    stream_stats = {}
+    for label, chained in (("q1_7d_chained", True), ("q1_7d_direct", False)):
+        t = time.perf_counter()
+        h = start(events_to_comments(events_stream(spark, sf_dir)), "q1", "7d",
+                  path=scratch_path(spark, "bench-out"), checkpoint=scratch_path(spark, "bench-ck"),
+                  chained=chained, state_partitions=cpus)
+        h.awaitTermination()
+        secs = time.perf_counter() - t
+        prog = h.recentProgress
+        rows = sum(p["numInputRows"] for p in prog)
+        stream_stats[label] = {
+            "sec": round(secs, 3), "input_rows": rows, "rows_per_sec": round(rows / secs),
+            "batches": len(prog),
+            "peak_state_rows": max((sum(op.get("numRowsTotal", 0) for op in p["stateOperators"]) for p in prog),
+                                   default=0),
+        }
+        times[f"stream_{label}"] = round(secs, 3)
+
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_seconds",
@@ -87,6 +110,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "warmup_dir": warm_dir,
+        "stream_stats": stream_stats,
     }))
     spark.stop()
 

@@ -86,3 +86,13 @@ def test_json_parsed_once(spark):
     df = spark.createDataFrame([("k", doc())], "key string, value string")
     plan = valid_only(with_validity(df))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_broker_timestamp_kept_for_entry_time(spark):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("k", doc(), datetime(2018, 1, 1, 0, 0, 1))],
+                               "key string, value string, timestamp timestamp")
+    r = with_validity(df, F.unix_millis(F.col("timestamp"))).first()
+    assert r.is_valid and r.entry_time == 1514764801000

@@ -141,7 +141,8 @@ _MEMBERS_AS_TEXT = T.StructType([T.StructField(f, T.StringType(), True) for f in
 def with_validity(envelope: DataFrame, entry_time: Column | None = None) -> DataFrame:
     """Validate a Kafka-shaped frame (``key``, ``value`` JSON text, ...).
 
-    Returns ``key, value, <15 typed>, entry_time, is_valid, reject_reason``.
+    Returns ``key, value[, timestamp], <15 typed>, entry_time, is_valid,
+    reject_reason``.
     ``entry_time`` defaults to the ingest clock (epoch ms, constant within a
     query execution / micro-batch).
 
@@ -149,13 +150,14 @@ def with_validity(envelope: DataFrame, entry_time: Column | None = None) -> Data
     access) and its top-level key list; the key list tells an absent member
     from a JSON null and is NULL for anything that is not a JSON object.
     """
-    staged = envelope.select("key", "value",
+    keep = ["key", "value"] + (["timestamp"] if "timestamp" in envelope.columns else [])
+    staged = envelope.select(*keep,
                              F.from_json(F.col("value"), _MEMBERS_AS_TEXT).alias("__s"),
                              F.json_object_keys(F.col("value")).alias("__k"))
     pre = [(F.col("value").isNotNull(), "value_null"),
            (F.col("__k").isNotNull(), "not_json")]
     out = validate_members(staged, lambda f: F.col("__s").getField(f),
-                           lambda f: F.array_contains(F.col("__k"), f), pre, "ms", ["key", "value"])
+                           lambda f: F.array_contains(F.col("__k"), f), pre, "ms", keep)
     et = entry_time if entry_time is not None else F.unix_millis(F.current_timestamp())
     return out.withColumn("entry_time", et)
 

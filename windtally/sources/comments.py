@@ -69,11 +69,17 @@ def kafka_envelope(raw: DataFrame) -> DataFrame:
 
 
 def kafka_comments(spark: SparkSession, options: dict[str, str], stream: bool = True,
-                   entry_time: Column | None = None) -> DataFrame:
-    """Validated comments from the topic (requires the Kafka connector jar)."""
+                   entry_time: Column | None = None, entry_from: str = "clock") -> DataFrame:
+    """Validated comments from the topic (requires the Kafka connector jar).
+
+    ``entry_from="clock"`` stamps ``entry_time`` with the processing clock
+    (per micro-batch); ``"broker"`` uses the record's Kafka timestamp, which
+    also counts the time a record waited in the broker."""
     ensure_utc(spark)
     reader = spark.readStream if stream else spark.read
     raw = reader.format("kafka").options(**options).load()
+    if entry_time is None and entry_from == "broker":
+        entry_time = F.unix_millis(F.col("timestamp"))
     return with_validity(kafka_envelope(raw), entry_time)
 
 
