@@ -83,7 +83,16 @@ def batch_writer(path: str, query: str, fmt: str = "rows", latency: bool = False
     """``foreachBatch`` function: finish the closed windows and write them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = finish_batch(batch, query, fmt, latency)
+        # The closed windows of one micro-batch are read more than once
+        # (ranking + window totals); keep them instead of re-running the
+        # stateful part of the batch plan.
+        batch = batch.persist()
+        try:
+            _write(finish_batch(batch, query, fmt, latency), batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write(out: DataFrame, batch_id: int) -> None:
         if sink == "parquet":
             out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         elif sink == "text":
