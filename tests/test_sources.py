@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from windtally.operators.quality import valid_only, with_validity
+from windtally.operators.quality import valid_only
 from windtally.schema import WIRE_FIELDS
 from windtally.sources.comments import (csv_comments, encode_csv, encode_wire, json_comments, kafka_options,
                                         parse_csv_lines, validate_csv)

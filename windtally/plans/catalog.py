@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windtally.functions.render import profile_line, ranking_line
-from windtally.functions.timewin import SPECS, TWO_HOURS, bucket_label
-from windtally.operators.ranking import ordered_profile, ranking_array, top_n, with_window_max
-from windtally.operators.rollup import count_by, flatten
+from windtally.functions.timewin import bucket_label
+from windtally.operators.ranking import ordered_profile, ranking_array, with_window_max
+from windtally.operators.rollup import flatten
 from windtally.plans import queries as Q
 from windtally.operators.quality import rejects, valid_only, with_validity
 from windtally.plans.fixtures import FAULTS, comments_from_events, comments_from_lineitem, wire_from_events
