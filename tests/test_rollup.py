@@ -44,3 +44,23 @@ def test_rank_counts_non_increasing(spark):
         if a.window_start == b.window_start:
             assert a.n >= b.n and b.rnk == a.rnk + 1
     assert r.groupBy("window_start").count().agg(F.max("count")).first()[0] <= 3
+
+
+def test_profile_lines_ascending_bounded_unique(spark):
+    import re
+    lines = Q.q2_lines(comments_from_events(spark, SF_SMALL))
+    for w, df in lines.items():
+        vals = [r.value for r in df.collect()]
+        labels = [v.split(" --> ")[0] for v in vals]
+        assert len(labels) == len(set(labels)), w
+        for v in vals:
+            buckets = re.findall(r"\{(\d\d:00:00), count = \d+\} ", v)
+            assert buckets == sorted(buckets) and 0 < len(buckets) <= 12 and v.endswith("} ")
+
+
+def test_hourly_counts_never_exceed_daily(spark):
+    c = comments_from_events(spark, SF_SMALL)
+    levels = {k: flatten(v) for k, v in Q.article_counts(c, chained=False).items()}
+    daily = {(r.window_start.date(), r.article_id): r.n for r in levels["24h"].collect()}
+    for r in levels["1h"].collect():
+        assert r.n <= daily[(r.window_start.date(), r.article_id)]
