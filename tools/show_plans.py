@@ -16,7 +16,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SHOW = ["rank_article_24h", "rank_article_24h_entry", "rollup_article_7d", "profile_7d",
+SHOW = ["rank_article_24h", "rank_article_24h_entry", "rollup_article_7d", "profile_7d", "profile_lineitem_30d",
         "profile_lines_24h", "valid_comments", "csv_roundtrip"]
 
 
