@@ -34,6 +34,9 @@ def main(argv: list[str], spark=None) -> int:
     p.add_argument("--brokers")
     p.add_argument("--topic", default=None)
     p.add_argument("--quarantine")
+    p.add_argument("--trigger-interval", help="stream mode: run continuously with this processing-time "
+                                              "trigger (e.g. '10 seconds'); default: process what is "
+                                              "available now and stop")
     p.add_argument("--stage", help="stream mode: decode/validate once into this Parquet stage "
                                    "(rejects included) and run the three results from it")
     a = p.parse_args(argv)
@@ -67,19 +70,21 @@ def main(argv: list[str], spark=None) -> int:
             checked = src.kafka_comments(spark, src.kafka_options(a.brokers, a.topic or INPUT_TOPIC), stream=a.stream)
         comments = valid_only(checked)
 
+    trigger = {"processingTime": a.trigger_interval} if a.trigger_interval else None
     if a.stream and a.stage and checked is not None:
         ck = a.checkpoint or f"{checkpoint_root(spark)}/{q}"
         handles = jobs.start_staged(checked, q, stage=a.stage, out=a.out, checkpoint=ck, sink=a.sink,
-                                    latency=latency, delay=a.delay, kafka=kafka)
+                                    latency=latency, delay=a.delay, kafka=kafka, trigger=trigger)
         for h in handles:
             h.awaitTermination()
     elif a.stream:
         ck = a.checkpoint or f"{checkpoint_root(spark)}/{q}"
         handles = jobs.start_streams(comments, q, out=a.out, checkpoint=ck, sink=a.sink, latency=latency,
-                                     delay=a.delay, kafka=kafka)
+                                     delay=a.delay, kafka=kafka, trigger=trigger)
         if checked is not None and a.quarantine:
             handles.append(rejects(checked).writeStream.format("parquet").option("path", a.quarantine)
-                           .option("checkpointLocation", f"{ck}/quarantine").trigger(availableNow=True).start())
+                           .option("checkpointLocation", f"{ck}/quarantine")
+                           .trigger(**(trigger or {"availableNow": True})).start())
         for h in handles:
             h.awaitTermination()
     else:
