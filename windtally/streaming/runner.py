@@ -219,3 +219,10 @@ def staged_comments(spark, stage: str, max_files_per_trigger: int | None = None)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.parquet(stage).filter(F.col("is_valid")).select(*TYPED_COLUMNS)
+
+
+def dropped_late_rows(handle: StreamingQuery) -> int:
+    """Records discarded as late (behind the watermark) over the query's
+    recent progress — the T4 late-data metric."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in handle.recentProgress for op in p.get("stateOperators", []))
