@@ -7,7 +7,7 @@ parses.  The rules are applied to the *text* of each member:
 members                accepted text
 =====================  ==========================================================
 approveDate createDate optional sign + digits, fits signed 64-bit, and the instant
-                       fits a Spark timestamp
+                       lies in years 0001-9999
 articleWordCount
 commentID inReplyTo
 userID                 optional ``+`` + digits, value in 0 .. 4294967295
@@ -38,9 +38,10 @@ from windtally.schema import (BOOL_FIELDS, EPOCH_FIELDS, INT_FIELDS, STRING_FIEL
 SIGNED_DIGITS = r"^[+-]?[0-9]+$"
 UNSIGNED_DIGITS = r"^[+]?[0-9]+$"
 UNSIGNED_MAX = 4294967295
-# largest |epoch| whose microseconds still fit a 64-bit Spark timestamp
-MAX_EPOCH_MS = 9223372036854775
-MAX_EPOCH_S = 9223372036854
+# accepted instants: 0001-01-01T00:00:00Z .. 9999-12-31T23:59:59.999Z
+# (window arithmetic on anything further out would overflow 64-bit microseconds)
+EPOCH_MS_RANGE = (-62135596800000, 253402300799999)
+EPOCH_S_RANGE = (-62135596800, 253402300799)
 # -----------------------------------------------------------------------------
 
 
@@ -48,9 +49,9 @@ def _ok(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def _epoch_ok(t: Column, limit: int) -> Column:
+def _epoch_ok(t: Column, bounds: tuple[int, int]) -> Column:
     v = t.try_cast("bigint")
-    return _ok(t.rlike(SIGNED_DIGITS) & v.isNotNull() & (F.abs(v) <= limit))
+    return _ok(t.rlike(SIGNED_DIGITS) & v.between(*bounds))
 
 
 def _unsigned_ok(t: Column) -> Column:
@@ -70,7 +71,7 @@ def field_checks(get: Getter, present: Getter, time_unit: str = "ms") -> list[tu
 
     ``get(member)`` is the member's text, ``present(member)`` whether the
     member exists at all (a JSON null exists)."""
-    limit = MAX_EPOCH_MS if time_unit == "ms" else MAX_EPOCH_S
+    limit = EPOCH_MS_RANGE if time_unit == "ms" else EPOCH_S_RANGE
     checks = [(_ok(present(f)), f"missing:{f}") for f in WIRE_FIELDS]
     for f in WIRE_FIELDS:
         t = get(f)
@@ -87,11 +88,14 @@ def typed_members(get: Getter, time_unit: str = "ms") -> list[tuple[str, Column]
     """The 15 typed columns from the members' text.  Only meaningful where
     the row is valid (guarded by the caller)."""
     to_ts = F.timestamp_millis if time_unit == "ms" else F.timestamp_seconds
+    bounds = EPOCH_MS_RANGE if time_unit == "ms" else EPOCH_S_RANGE
     cols = []
     for f in WIRE_FIELDS:
         t = get(f)
         if f in EPOCH_FIELDS:
-            c = to_ts(t.try_cast("bigint"))
+            # converted only inside the accepted range: these expressions are
+            # evaluated for every row, invalid ones included (ANSI overflow)
+            c = F.when(_epoch_ok(t, bounds), to_ts(t.try_cast("bigint")))
         elif f in UNSIGNED_FIELDS:
             c = t.try_cast("bigint")
         elif f in INT_FIELDS:
