@@ -96,3 +96,14 @@ def test_native_profile_stream_equals_batch_lines(spark, scratch):
     max_ts = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
     closed = batch.filter(F.col("window_start") + F.expr("INTERVAL 24 HOURS") <= F.lit(max_ts))
     assert sorted(streamed.collect()) == sorted(closed.collect()) and streamed.count() > 0
+
+
+def test_stream_profile_latency_rows_equal_batch(spark, scratch):
+    out, ck = scratch("out"), scratch("ck")
+    h = start(events_to_comments(events_stream(spark, SF_SMALL)), "q2", "7d", path=out, checkpoint=ck, latency=True)
+    h.awaitTermination()
+    streamed = spark.read.parquet(out).drop("batch")
+    batch = QUERIES["profile_7d_entry"](spark, SF_SMALL)
+    max_ts = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
+    closed = batch.filter(F.col("window_start") + F.expr("INTERVAL 7 DAYS") <= F.lit(max_ts))
+    assert sorted(streamed.collect()) == sorted(closed.collect()) and streamed.count() > 0

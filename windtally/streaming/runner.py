@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from windtally.functions.render import profile_line, ranking_line, with_latency
 from windtally.functions.timewin import DAY, DAYS30, HOUR, WEEK
-from windtally.operators.ranking import ordered_profile, ranking_array, top_n
+from windtally.operators.ranking import ordered_profile, ranking_array, top_n, with_window_max
 from windtally.operators.rollup import flatten, hierarchy, rollup
 from windtally.plans.queries import bucket_counts
 
@@ -72,7 +72,8 @@ def finish_batch(agg: DataFrame, query: str, fmt: str, latency: bool = False) ->
         lines = ranking_line(ranking_array(ranked))
     else:
         if fmt == "rows":
-            return flat
+            # window-wide max ingest time on every bucket row (<= 12 rows per window)
+            return with_window_max(flat) if "max_entry_time" in flat.columns else flat
         lines = profile_line(ordered_profile(flat))
     return with_latency(lines) if latency else lines
 
