@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from windtally.functions.render import profile_line, ranking_line
 from windtally.functions.timewin import bucket_label
-from windtally.operators.ranking import ordered_profile, ranking_array, with_window_max
+from windtally.operators.ranking import ordered_profile, ranking_array
 from windtally.operators.rollup import flatten
 from windtally.plans import queries as Q
 from windtally.operators.quality import rejects, valid_only, with_validity
@@ -154,7 +154,7 @@ for _w in ("24h", "7d", "30d"):
         lambda spark, sf_dir, w=_w: Q.q2(comments_from_events(spark, sf_dir))[w])
     # Plus max ingest time over the whole window
     _register(f"profile_{_w}_entry", _profile_sql(_EVENTS_CTE, _w, entry=True))(
-        lambda spark, sf_dir, w=_w: with_window_max(Q.q2(comments_from_events(spark, sf_dir), latency=True)[w]))
+        lambda spark, sf_dir, w=_w: Q.q2(comments_from_events(spark, sf_dir), latency=True)[w])
     # F8: rendered profile line per window
     _register(f"profile_lines_{_w}", _profile_lines_sql(_EVENTS_CTE, _w))(
         lambda spark, sf_dir, w=_w: profile_line(ordered_profile(Q.q2(comments_from_events(spark, sf_dir))[w])))

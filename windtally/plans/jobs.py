@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from windtally.functions.render import profile_line, ranking_line, with_latency
 from windtally.functions.timewin import DAY, DAYS30, WEEK
 from windtally.operators.quality import rejects, valid_only
-from windtally.operators.ranking import ordered_profile, ranking_array, top_n
+from windtally.operators.ranking import ordered_profile, ranking_array, top_n, with_window_max
 from windtally.operators.rollup import flatten, rollup
 from windtally.plans import queries as Q
 from windtally.session import checkpoint_root
@@ -43,6 +43,8 @@ def batch_results(spark: SparkSession, comments: DataFrame, query: str, latency:
     if query == "q2":
         two_h = Q.bucket_counts(comments, latency).checkpoint(eager=True)
         flat = {s.name: flatten(rollup(two_h, s, ["bucket"])) for s in (DAY, WEEK, DAYS30)}
+        if latency:  # window-wide max ingest time on every bucket row
+            flat = {w: with_window_max(f) for w, f in flat.items()}
         if fmt == "rows":
             return flat
         return {w: profile_line(ordered_profile(f)) for w, f in flat.items()}

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from windtally.functions.render import profile_line, ranking_line
 from windtally.functions.timewin import DAY, DAYS30, HOUR, TWO_HOURS, WEEK, bucket_label
-from windtally.operators.ranking import ordered_profile, ranking_array, top_n
+from windtally.operators.ranking import ordered_profile, ranking_array, top_n, with_window_max
 from windtally.operators.rollup import count_by, flatten, hierarchy, rollup
 from windtally.session import ensure_utc
 
@@ -65,12 +65,16 @@ def bucket_counts(comments: DataFrame, latency: bool = False) -> DataFrame:
 
 
 def q2(comments: DataFrame, latency: bool = False) -> dict[str, DataFrame]:
-    """Flat rows ``window_start, bucket, n[, max_entry_time]`` for 24h / 7d / 30d."""
+    """Flat rows ``window_start, bucket, n[, max_entry_time]`` for 24h / 7d / 30d.
+
+    In latency mode ``max_entry_time`` is the maximum over the whole window
+    (every bucket), repeated on each of its at most 12 rows."""
     two_h = bucket_counts(comments, latency)
     out = {}
     for spec in Q2_SPECS:
         flat = flatten(rollup(two_h, spec, ["bucket"]))
-        out[spec.name] = flat.select("window_start", "bucket", *[c for c in flat.columns if c not in ("window_start", "bucket")])
+        flat = flat.select("window_start", "bucket", *[c for c in flat.columns if c not in ("window_start", "bucket")])
+        out[spec.name] = with_window_max(flat) if latency else flat
     return out
 
 
