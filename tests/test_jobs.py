@@ -85,3 +85,16 @@ def test_staged_stream_equals_direct_stream(spark, scratch):
         a = sorted(spark.read.parquet(f"{out}/{topic}").drop("batch").collect())
         b = sorted(spark.read.parquet(f"{out2}/{topic}").drop("batch").collect())
         assert a == b and len(a) > 0, topic
+
+
+def test_batch_job_latency_rows_and_lines(spark, scratch):
+    c = comments_from_events(spark, SF_SMALL)
+    rows = jobs.batch_results(spark, c, "q1", latency=True, fmt="rows")
+    want = Q.q1(c, latency=True, chained=False)
+    for w in ("1h", "24h", "7d"):
+        assert sorted(rows[w].collect()) == sorted(want[w].collect()), w
+    out = scratch("out")
+    jobs.write_batch(rows, "q1", "parquet", out, latency=True)
+    jobs.write_batch(jobs.batch_results(spark, c, "q2", latency=True), "q2", "text", out, latency=True)
+    assert spark.read.parquet(f"{out}/query1-7-days-rank").count() > 0
+    assert all("Latency = " in r.value for r in spark.read.text(f"{out}/query2-30-days").collect())

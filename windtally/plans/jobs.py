@@ -35,7 +35,10 @@ def batch_results(spark: SparkSession, comments: DataFrame, query: str, latency:
     if query == "q1":
         hourly = Q.article_counts(comments, latency)["1h"].checkpoint(eager=True)
         day = rollup(hourly, DAY, ["article_id"])
-        levels = {"1h": hourly, "24h": day, "7d": rollup(day, WEEK, ["article_id"])}
+        # latency: ranked levels carry per-window totals from the same aggregate
+        levels = {"1h": hourly,
+                  "24h": rollup(hourly, DAY, ["article_id"], window_totals=latency),
+                  "7d": rollup(day, WEEK, ["article_id"], window_totals=latency)}
         ranked = {w: top_n(flatten(a)) for w, a in levels.items()}
         if fmt == "rows":
             return ranked
@@ -55,8 +58,8 @@ def write_batch(results: dict[str, DataFrame], query: str, sink: str, out: str |
                 kafka: dict[str, str] | None = None, latency: bool = False) -> None:
     for w, df in results.items():
         topic = RESULT_TOPICS[(query, w)]
-        if latency and "max_entry_time" in df.columns:
-            df = with_latency(df)
+        if latency and "value" in df.columns and "max_entry_time" in df.columns:
+            df = with_latency(df)  # rendered lines get the latency text; rows keep max_entry_time
         if sink == "text":
             write_text(df, f"{out}/{topic}")
         elif sink == "parquet":
