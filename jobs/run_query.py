@@ -65,7 +65,7 @@ def main(argv: list[str], spark=None) -> int:
         if a.source == "json":
             checked = src.json_comments(spark, a.input, stream=a.stream)
         elif a.source == "csv":
-            checked = src.csv_comments(spark, a.input)
+            checked = src.csv_comments(spark, a.input, stream=a.stream)
         else:
             checked = src.kafka_comments(spark, src.kafka_options(a.brokers, a.topic or INPUT_TOPIC), stream=a.stream)
         comments = valid_only(checked)

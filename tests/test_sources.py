@@ -93,3 +93,16 @@ def test_text_sink_sorted(spark, scratch):
     write_text(df, out + "/r")
     lines = [r.value for r in spark.read.text(out + "/r").collect()]
     assert sorted(lines) == ["line 1", "line 2", "line 3"]
+
+
+def test_csv_stream(spark, scratch):
+    d, out, ck = scratch("csv"), scratch("out"), scratch("ck")
+    with open(f"{d}/comments.csv", "w") as f:
+        f.write(HEADER + "\n" + "\n".join(ROWS) + "\n")
+    stream = csv_comments(spark, d, stream=True)
+    assert stream.isStreaming
+    q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.filter("is_valid").count() == 5 and got.filter("not is_valid").count() == 1

@@ -124,10 +124,13 @@ def validate_csv(rows: DataFrame, entry_time: Column | None = None) -> DataFrame
     return out.withColumn("entry_time", et)
 
 
-def csv_comments(spark: SparkSession, path: str, entry_time: Column | None = None) -> DataFrame:
-    """Validated comments from the historical CSV table (batch)."""
+def csv_comments(spark: SparkSession, path: str, entry_time: Column | None = None,
+                 stream: bool = False) -> DataFrame:
+    """Validated comments from the historical CSV table (batch, or new CSV
+    files arriving in ``path`` as a stream)."""
     ensure_utc(spark)
-    rows = spark.read.options(**CSV_OPTIONS).schema(CSV_SCHEMA).csv(path)
+    reader = spark.readStream if stream else spark.read
+    rows = reader.options(**CSV_OPTIONS).schema(CSV_SCHEMA).csv(path)
     return validate_csv(rows, entry_time)
 
 
