@@ -35,6 +35,8 @@ def get_spark(master: str | None = None, app: str = "windtally",
         # Streaming state: keep many (window, article) keys off-heap.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # commit only each batch's state changes; snapshots are made in the background
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
