@@ -100,7 +100,7 @@ def encode_wire(typed: DataFrame) -> DataFrame:
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
-def csv_members(row_cols: DataFrame | None = None) -> Column:
+def csv_members() -> Column:
     """``map<string,string>`` of the 15 CSV columns.  Empty string members
     read as NULL by the CSV parser are restored to ``""``; an empty numeric
     member stays NULL and is rejected by the typed rules."""
