@@ -37,6 +37,9 @@ def main(argv: list[str], spark=None) -> int:
     p.add_argument("--trigger-interval", help="stream mode: run continuously with this processing-time "
                                               "trigger (e.g. '10 seconds'); default: process what is "
                                               "available now and stop")
+    p.add_argument("--direct", action="store_true",
+                   help="stream mode: count each Q1 window size directly (one state store) instead of "
+                        "chaining 1h -> 24h -> 7d")
     p.add_argument("--stage", help="stream mode: decode/validate once into this Parquet stage "
                                    "(rejects included) and run the three results from it")
     a = p.parse_args(argv)
@@ -74,13 +77,14 @@ def main(argv: list[str], spark=None) -> int:
     if a.stream and a.stage and checked is not None:
         ck = a.checkpoint or f"{checkpoint_root(spark)}/{q}"
         handles = jobs.start_staged(checked, q, stage=a.stage, out=a.out, checkpoint=ck, sink=a.sink,
-                                    latency=latency, delay=a.delay, kafka=kafka, trigger=trigger)
+                                    latency=latency, delay=a.delay, kafka=kafka, trigger=trigger,
+                                    chained=not a.direct)
         for h in handles:
             h.awaitTermination()
     elif a.stream:
         ck = a.checkpoint or f"{checkpoint_root(spark)}/{q}"
         handles = jobs.start_streams(comments, q, out=a.out, checkpoint=ck, sink=a.sink, latency=latency,
-                                     delay=a.delay, kafka=kafka, trigger=trigger)
+                                     delay=a.delay, kafka=kafka, trigger=trigger, chained=not a.direct)
         if checked is not None and a.quarantine:
             handles.append(rejects(checked).writeStream.format("parquet").option("path", a.quarantine)
                            .option("checkpointLocation", f"{ck}/quarantine")

@@ -98,3 +98,16 @@ def test_batch_job_latency_rows_and_lines(spark, scratch):
     jobs.write_batch(jobs.batch_results(spark, c, "q2", latency=True), "q2", "text", out, latency=True)
     assert spark.read.parquet(f"{out}/query1-7-days-rank").count() > 0
     assert all("Latency = " in r.value for r in spark.read.text(f"{out}/query2-30-days").collect())
+
+
+def test_direct_streams_equal_chained_on_in_order_data(spark, scratch):
+    from windtally.plans.fixtures import events_stream, events_to_comments
+    outs = {}
+    for chained in (True, False):
+        out, ck = scratch("out"), scratch("ck")
+        for h in jobs.start_streams(events_to_comments(events_stream(spark, SF_SMALL)), "q1", out=out,
+                                    checkpoint=ck, sink="parquet", chained=chained):
+            h.awaitTermination()
+        outs[chained] = {t: sorted(spark.read.parquet(f"{out}/{t}").drop("batch").collect())
+                         for t in ("query1-24-hours-rank", "query1-7-days-rank")}
+    assert outs[True] == outs[False]

@@ -72,7 +72,7 @@ def write_batch(results: dict[str, DataFrame], query: str, sink: str, out: str |
 
 def start_streams(comments: DataFrame, query: str, *, out: str, checkpoint: str, sink: str = "text",
                   latency: bool = False, delay: str = "0 seconds", trigger: dict | None = None,
-                  kafka: dict[str, str] | None = None) -> list[StreamingQuery]:
+                  kafka: dict[str, str] | None = None, chained: bool = True) -> list[StreamingQuery]:
     """Start the three continuous results of ``query`` on one comment stream."""
     handles = []
     for w in WINDOWS[query]:
@@ -81,7 +81,7 @@ def start_streams(comments: DataFrame, query: str, *, out: str, checkpoint: str,
             comments, query, w, path=f"{out}/{topic}", checkpoint=f"{checkpoint}/{topic}",
             fmt="rows" if sink == "parquet" else "lines", latency=latency, delay=delay, sink=sink,
             kafka_options={**(kafka or {}), "topic": topic} if sink == "kafka" else None,
-            trigger=trigger, name=topic.replace("-", "_"),
+            trigger=trigger, name=topic.replace("-", "_"), chained=chained,
             state_partitions=comments.sparkSession.sparkContext.defaultParallelism))
     return handles
 
@@ -100,7 +100,8 @@ def publish(checked: DataFrame, sink: str, out: str | None = None, kafka: dict[s
 
 def start_staged(checked: DataFrame, query: str, *, stage: str, out: str, checkpoint: str,
                  sink: str = "text", latency: bool = False, delay: str = "0 seconds",
-                 trigger: dict | None = None, kafka: dict[str, str] | None = None) -> list[StreamingQuery]:
+                 trigger: dict | None = None, kafka: dict[str, str] | None = None,
+                 chained: bool = True) -> list[StreamingQuery]:
     """Decode/validate once into ``stage`` (valid rows + quarantine), then run
     the three results of ``query`` from the stage.
 
@@ -112,4 +113,5 @@ def start_staged(checked: DataFrame, query: str, *, stage: str, out: str, checkp
         staging.awaitTermination()
     comments = runner.staged_comments(checked.sparkSession, stage)
     return [staging] + start_streams(comments, query, out=out, checkpoint=checkpoint, sink=sink,
-                                     latency=latency, delay=delay, trigger=trigger, kafka=kafka)
+                                     latency=latency, delay=delay, trigger=trigger, kafka=kafka,
+                                     chained=chained)
