@@ -111,3 +111,28 @@ def test_direct_streams_equal_chained_on_in_order_data(spark, scratch):
         outs[chained] = {t: sorted(spark.read.parquet(f"{out}/{t}").drop("batch").collect())
                          for t in ("query1-24-hours-rank", "query1-7-days-rank")}
     assert outs[True] == outs[False]
+
+
+def test_staged_continuous_trigger(spark, scratch):
+    """Processing-time trigger: stage and results run together, then stop."""
+    from pyspark.sql import functions as F
+
+    from windtally.plans.fixtures import wire_from_events
+    from windtally.sources.comments import json_comments
+
+    src, out, ck = scratch("src"), scratch("out"), scratch("ck")
+    stage = scratch("stage") + "/not-yet-created"
+    wire_from_events(spark, SF_SMALL).select("value").na.fill("").write.mode("overwrite").text(f"{src}/msgs")
+    checked = json_comments(spark, f"{src}/msgs", stream=True, entry_time=F.lit(0).cast("bigint"))
+    handles = jobs.start_staged(checked, "q2", stage=stage, out=out, checkpoint=ck, sink="parquet",
+                                trigger={"processingTime": "1 second"})
+    try:
+        for h in handles:
+            h.processAllAvailable()
+        for h in handles:
+            h.processAllAvailable()
+        assert all(h.exception() is None for h in handles)
+        assert spark.read.parquet(stage).count() > 0
+    finally:
+        for h in handles:
+            h.stop()

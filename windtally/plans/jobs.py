@@ -20,7 +20,7 @@ from windtally.operators.quality import rejects, valid_only
 from windtally.operators.ranking import ordered_profile, ranking_array, top_n, with_window_max
 from windtally.operators.rollup import flatten, rollup
 from windtally.plans import queries as Q
-from windtally.session import checkpoint_root
+from windtally.session import checkpoint_root, ensure_dir
 from windtally.sources.comments import encode_wire
 from windtally.sources.sinks import RESULT_TOPICS, write_kafka, write_parquet, write_text
 from windtally.streaming import runner
@@ -108,6 +108,7 @@ def start_staged(checked: DataFrame, query: str, *, stage: str, out: str, checkp
     With the default ``availableNow`` trigger the stage is completed before
     the results start; with a processing-time trigger all four run together
     and the results pick up each committed stage file."""
+    ensure_dir(checked.sparkSession, stage)  # result streams may start before the first stage file
     staging = runner.start_staging(checked, stage=stage, checkpoint=f"{checkpoint}/stage", trigger=trigger)
     if not trigger or "availableNow" in trigger or "once" in trigger:
         staging.awaitTermination()

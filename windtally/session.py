@@ -95,3 +95,14 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() < n:
         return df.repartition(n)
     return df
+
+
+def ensure_dir(spark: SparkSession, path: str) -> str:
+    """Create ``path`` (any Hadoop-supported URI) if missing — a driver-side
+    metadata call, e.g. so a file stream can start before its first file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        fs.mkdirs(p)
+    return path
