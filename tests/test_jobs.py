@@ -75,7 +75,10 @@ def test_staged_stream_equals_direct_stream(spark, scratch):
         h.awaitTermination()
     staged = spark.read.parquet(stage)
     assert staged.filter("is_valid").count() > 0
-    assert staged.filter("not is_valid").filter("raw_value is not null").count() > 0
+    from windtally.streaming.runner import staged_rejects
+    q = staged_rejects(spark, stage)
+    assert q.columns == ["key", "value", "reject_reason"]
+    assert q.filter("reject_reason = 'not_json'").filter("value is not null").count() > 0
     # same results as running the three streams on the decoded source directly
     direct = json_comments(spark, f"{src}/msgs", stream=True, entry_time=F.lit(0).cast("bigint"))
     direct = direct.filter("is_valid").drop("key", "value", "is_valid", "reject_reason")

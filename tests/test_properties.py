@@ -50,3 +50,54 @@ def test_chained_counts_match_bucketing(spark, rows):
         monday = datetime(t.year, t.month, t.day) - timedelta(days=t.weekday())
         want[(monday, a)] += 1
     assert got == want
+
+
+# --- validity rules vs a plain-Python statement of them ----------------------
+import json
+import re as _re
+
+from windtally.operators.quality import with_validity
+
+_BASE = {"approveDate": 1514764900000, "articleId": "a", "articleWordCount": 1, "commentID": 1,
+         "commentType": "c", "createDate": 1514764800000, "depth": 1, "editorsSelection": False,
+         "inReplyTo": 0, "parentUserDisplayName": "", "recommendations": 3, "sectionName": "s",
+         "userDisplayName": "u", "userID": 7, "userLocation": "x"}
+
+
+def _python_verdict(member, text):
+    """Expected verdict for one member's text (None = JSON null)."""
+    if text is None:
+        return member in ("userLocation",)  # string members accept null; numbers do not
+    if member in ("depth", "recommendations"):
+        return bool(_re.fullmatch(r"[+-]?[0-9]+", text)) and -2**31 <= int(text) < 2**31
+    if member in ("userID", "commentID"):
+        return bool(_re.fullmatch(r"\+?[0-9]+", text)) and int(text) <= 4294967295
+    if member == "createDate":
+        return bool(_re.fullmatch(r"[+-]?[0-9]+", text)) and -62135596800000 <= int(text) <= 253402300799999
+    return True
+
+
+_texts = st.one_of(
+    st.none(),
+    st.from_regex(r"[+-]?[0-9]{1,12}", fullmatch=True),
+    st.from_regex(r" ?[+-]?[0-9]{1,3}(\.[0-9])? ?", fullmatch=True),
+    st.integers(-2**40, 2**40).map(str),
+    st.sampled_from(["", "abc", "1e3", "0x10", "+", "-", "4294967296", "2147483648", "-2147483649",
+                     "9223372036854775807", "-9223372036854775808", "99999999999999999999"]),
+)
+
+
+@SETTINGS
+@given(cases=st.lists(st.tuples(st.sampled_from(["depth", "recommendations", "userID", "commentID",
+                                                  "createDate", "userLocation"]), _texts),
+                      min_size=1, max_size=25))
+def test_validity_rules_match_python(spark, cases):
+    docs = []
+    for member, text in cases:
+        d = dict(_BASE)
+        d[member] = text
+        docs.append((json.dumps(d),))
+    df = spark.createDataFrame(docs, "value string").selectExpr("CAST(NULL AS STRING) AS key", "value")
+    got = {r.value: r.is_valid for r in with_validity(df).collect()}
+    for (member, text), (doc,) in zip(cases, docs):
+        assert got[doc] == _python_verdict(member, text), (member, text)

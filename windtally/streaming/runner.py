@@ -227,3 +227,9 @@ def dropped_late_rows(handle: StreamingQuery) -> int:
     recent progress — the T4 late-data metric."""
     return sum(op.get("numRowsDroppedByWatermark", 0)
                for p in handle.recentProgress for op in p.get("stateOperators", []))
+
+
+def staged_rejects(spark, stage: str) -> DataFrame:
+    """The quarantine held in the stage (batch read): raw key/value + reason."""
+    return spark.read.parquet(stage).filter("NOT is_valid").selectExpr(
+        "raw_key AS key", "raw_value AS value", "reject_reason")
