@@ -100,3 +100,16 @@ def test_broker_timestamp_kept_for_entry_time(spark):
                                "key string, value string, timestamp timestamp")
     r = with_validity(df, F.unix_millis(F.col("timestamp"))).first()
     assert r.is_valid and r.entry_time == 1514764801000
+
+
+def test_matrix_without_ansi(spark):
+    """Same verdicts when the session runs with ANSI mode off (try_cast then
+    behaves like the legacy cast; the text patterns keep the rules exact)."""
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([(c[1], c[2]) for c in CASES], "key string, value string")
+        got = {(r.key, r.value): r.reject_reason for r in with_validity(df).collect()}
+        assert [c[0] for c in CASES if got[(c[1], c[2])] != c[3]] == []
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
