@@ -107,3 +107,41 @@ def test_stream_profile_latency_rows_equal_batch(spark, scratch):
     max_ts = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
     closed = batch.filter(F.col("window_start") + F.expr("INTERVAL 7 DAYS") <= F.lit(max_ts))
     assert sorted(streamed.collect()) == sorted(closed.collect()) and streamed.count() > 0
+
+
+def test_restart_mid_stream_no_missing_or_duplicate_windows(spark, scratch):
+    """Stop after the first file, add more files, restart on the same
+    checkpoint: the union of both runs equals one uninterrupted run."""
+    files = [
+        [(1, "2018-01-01 00:10:00", "a"), (2, "2018-01-01 00:50:00", "b"), (3, "2018-01-01 01:20:00", "a")],
+        [(4, "2018-01-01 02:05:00", "b"), (5, "2018-01-01 02:40:00", "b"), (6, "2018-01-01 03:30:00", "c")],
+        [(7, "2018-01-01 04:10:00", "a"), (8, "2018-01-01 05:55:00", "c"), (9, "2018-01-01 07:00:00", "a")],
+    ]
+
+    def write(folder, i):
+        with open(f"{folder}/f{i}.json", "w") as f:
+            f.write("\n".join(_doc(*r) for r in files[i]) + "\n")
+
+    def comments(folder):
+        c = json_comments(spark, folder, stream=True, entry_time=F.lit(0).cast("bigint"), max_files_per_trigger=1)
+        return c.filter("is_valid").drop("key", "value", "is_valid", "reject_reason")
+
+    # interrupted: file 0, stop; then files 1-2, restart on the same checkpoint
+    src, out, ck = scratch("src"), scratch("out"), scratch("ck")
+    write(src, 0)
+    start(comments(src), "q1", "1h", path=out, checkpoint=ck).awaitTermination()
+    write(src, 1)
+    write(src, 2)
+    start(comments(src), "q1", "1h", path=out, checkpoint=ck).awaitTermination()
+    interrupted = sorted(spark.read.parquet(out).drop("batch").collect())
+
+    # uninterrupted
+    src2, out2, ck2 = scratch("src"), scratch("out"), scratch("ck")
+    for i in range(3):
+        write(src2, i)
+    start(comments(src2), "q1", "1h", path=out2, checkpoint=ck2).awaitTermination()
+    single = sorted(spark.read.parquet(out2).drop("batch").collect())
+
+    assert interrupted == single and len(single) > 0
+    keys = [(r.window_start, r.rnk) for r in interrupted]
+    assert len(keys) == len(set(keys))  # no window emitted twice
