@@ -61,3 +61,14 @@ def test_chained_window_equals_direct(spark):
 def test_weeks_start_monday(spark):
     r = spark.range(1).select(WEEK.over(F.lit(datetime(2024, 1, 3, 12))).start.alias("s")).first()
     assert r.s.weekday() == 0
+
+
+def test_empty_window_emits_no_row(spark):
+    from windtally.plans import queries as Q
+    df = spark.createDataFrame([("a", "2018-01-01 00:10:00", 1), ("b", "2018-01-01 02:10:00", 1)],
+                               "article_id string, s string, depth int")
+    c = df.select("article_id", F.to_timestamp("s").alias("create_ts"), "depth")
+    hours = sorted(str(r.window_start) for r in Q.q1(c)["1h"].collect())
+    assert hours == ["2018-01-01 00:00:00", "2018-01-01 02:00:00"]
+    buckets = sorted(r.bucket for r in Q.q2(c)["24h"].collect())
+    assert buckets == ["00:00:00", "02:00:00"]
