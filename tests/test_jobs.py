@@ -39,12 +39,9 @@ def test_publish_then_queries(spark, scratch):
         f.write(",".join(WIRE_FIELDS) + "\n")
         f.write("\n".join(r.value for r in encode_csv(c).collect()) + "\n")
     assert _job("publish_csv").main(["--input", csv_dir, "--out", msgs], spark=spark) == 0
-    wire = spark.read.json(msgs)
-    assert wire.count() == c.count() and set(wire.columns) == {"key", "value"}
-    # the published messages, read back as JSON lines of the value, give the same answer
-    from pyspark.sql import functions as F
-    wire.select(F.col("value")).write.text(f"{msgs}/values")
-    assert _job("run_query").main(["query1", "--source", "json", "--input", f"{msgs}/values", "--out", out,
+    assert spark.read.text(msgs).count() == c.count()
+    # the published JSON lines are directly the query job's input
+    assert _job("run_query").main(["query1", "--source", "json", "--input", msgs, "--out", out,
                                    "--sink", "parquet"], spark=spark) == 0
     got = spark.read.parquet(f"{out}/query1-24-hours-rank")
     want = Q.q1(c, chained=False)["24h"]

@@ -88,12 +88,16 @@ def start_streams(comments: DataFrame, query: str, *, out: str, checkpoint: str,
 
 def publish(checked: DataFrame, sink: str, out: str | None = None, kafka: dict[str, str] | None = None,
             quarantine: str | None = None) -> None:
-    """Valid comments as keyed JSON messages; rejects to a quarantine."""
+    """Valid comments as keyed JSON messages; rejects to a quarantine.
+
+    Kafka gets key (comment id) + value; files get one comment document per
+    line (the key is the document's own ``commentID``), which is exactly the
+    JSON-lines input ``json_comments`` reads."""
     wire = encode_wire(valid_only(checked))
     if sink == "kafka":
         write_kafka(wire, kafka or {})
     else:
-        wire.write.mode("overwrite").json(out)
+        wire.select("value").write.mode("overwrite").text(out)
     if quarantine:
         rejects(checked).write.mode("overwrite").parquet(quarantine)
 
