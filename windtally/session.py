@@ -37,6 +37,8 @@ def get_spark(master: str | None = None, app: str = "windtally",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         # commit only each batch's state changes; snapshots are made in the background
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # one shared, capped memory budget for all RocksDB instances of an executor
+        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
