@@ -16,14 +16,14 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-USAGE = "usage: run_query.py {query1|query2|q1|q2} [true] --input PATH --out PATH [options]"
+USAGE = "run_query.py {query1|query2|q1|q2} [true] --input PATH --out PATH [options]"
 
 
 def main(argv: list[str], spark=None) -> int:
     """Run the job; with ``spark`` given, reuse that session and leave it running."""
     p = argparse.ArgumentParser(usage=USAGE)
-    p.add_argument("query")
-    p.add_argument("latency", nargs="?", default="false")
+    p.add_argument("query", help="query1 | query2 (case-insensitive; q1 / q2 also accepted)")
+    p.add_argument("latency", nargs="?", default="false", help="'true' turns latency tracking on")
     p.add_argument("--source", choices=["json", "csv", "kafka", "events"], default="json")
     p.add_argument("--input")
     p.add_argument("--out", required=True)
@@ -46,7 +46,7 @@ def main(argv: list[str], spark=None) -> int:
 
     q = {"query1": "q1", "q1": "q1", "query2": "q2", "q2": "q2"}.get(a.query.lower())
     if q is None:
-        print(USAGE)
+        print(f"usage: {USAGE}")
         return 2
     latency = a.latency.lower() == "true"
 
