@@ -77,7 +77,15 @@ def kafka_comments(spark: SparkSession, options: dict[str, str], stream: bool =
     also counts the time a record waited in the broker."""
     ensure_utc(spark)
     reader = spark.readStream if stream else spark.read
-    raw = reader.format("kafka").options(**options).load()
+    try:
+        raw = reader.format("kafka").options(**options).load()
+    except Exception as e:  # connector jar absent: say which package is missing
+        if "kafka" in str(e).lower() and "data source" in str(e).lower():
+            raise RuntimeError(
+                "The Kafka source needs the spark-sql-kafka-0-10 connector on the classpath "
+                "(e.g. spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>)"
+            ) from e
+        raise
     if entry_time is None and entry_from == "broker":
         entry_time = F.unix_millis(F.col("timestamp"))
     return with_validity(kafka_envelope(raw), entry_time)
