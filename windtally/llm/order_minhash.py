@@ -113,21 +113,24 @@ def fingerprint_pairs(docs: DataFrame) -> DataFrame:
     beginning as the edit needs.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    kind = docs.schema["doc_id"].dataType
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    id_of = F.when(F.col("key") != "", F.expr("substring(key, 2)").cast(kind))
     rows = docs.select("doc_id", text_of().alias("text"))
     lengths = stored(rows.groupBy("doc_id").agg(F.max(F.length("text")).alias("n_longest"), F.count(F.lit(1)).alias("n")), "id-lengths")
     chain = stored(successors(lengths, parts).join(lengths.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
                    .select(key("doc_id").alias("before"), key("next_id").alias("next_key"),
                            F.floor(F.col("n_longest") / 2).cast("int").alias("need")), "id-chain")
-    signed = signature(F.col("text"), rows, "sig").withColumn("key", key("doc_id")).repartition("key")
-    following = signed.select("key", "text", "sig")
+    # both joins ask for the same three columns, so that one exchange serves them
+    signed = signature(F.col("text"), rows, "sig").select(key("doc_id").alias("key"), "text", "sig").repartition("key")
+    following = signed
     if lengths.where("n > 1").limit(1).count():  # repeated ids: the smallest text stands for the id
         following = following.groupBy("key").agg(F.min(F.struct("text", "sig")).alias("g")).select("key", "g.text", "g.sig")
     given = (following.join(chain, following["key"] == chain["next_key"])
              .select("before", F.expr("left(text, need)").alias("lent"), F.col("sig").alias("next_sig")))
     half = "cast(floor(length(text) / 2) as int)"
     both = (signed.join(given, signed["key"] == given["before"])
-            .select("doc_id", F.length("text").cast("long").alias("n_chars"), "sig", "next_sig",
+            .select(id_of.alias("doc_id"), F.length("text").cast("long").alias("n_chars"), "sig", "next_sig",
                     F.expr(f"concat(left(text, length(text) - {half}), left(lent, {half}))").alias("edited")))
     done = signature(F.col("edited"), both, "edited_sig")
     return done.select(
