@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import table
 from .textvec import BUCKETS, Profile, design, fit_softmax, profile, scores, softmax
@@ -86,12 +87,14 @@ def _clean(s: pd.Series) -> list:
     return s.where(s.notna(), None).tolist()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _pattern(texts: pd.Series) -> pd.Series:
     return pd.Series(pattern(votes(profile(_clean(texts)))))
 
 
-@F.pandas_udf("pattern int, stats array<double>, seen binary")
+# types, not DDL text: this module is imported before there is a session
+@F.pandas_udf(T.StructType([T.StructField("pattern", T.IntegerType()), T.StructField("stats", T.ArrayType(T.DoubleType())),
+                            T.StructField("seen", T.BinaryType())]))
 def _features(texts: pd.Series) -> pd.DataFrame:
     p = profile(_clean(texts))
     return pd.DataFrame({"pattern": pattern(votes(p)), "stats": list(p.stats), "seen": [r.tobytes() for r in np.packbits(p.seen, axis=1)]})
