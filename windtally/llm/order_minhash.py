@@ -12,7 +12,7 @@ Occurrence numbers and minima come from sorting one array of longs per text
 (35 bits of hash above 28 bits of position); no row is exploded, and the work
 is n log n in the text's length.
 
-Defined results: null counts as empty; an empty text has an empty fingerprint,
+Defined results: null counts as empty; a text of blanks alone has an empty fingerprint,
 like (1.0) another empty one and unlike (0.0) any other; the next document is
 the one with the next larger doc_id (nulls first; after the last, the first);
 of rows that repeat a doc_id the smallest text is taken as next, and each such
