@@ -42,19 +42,22 @@ def main(argv: list[str], spark=None) -> int:
                         "chaining 1h -> 24h -> 7d")
     p.add_argument("--stage", help="stream mode: decode/validate once into this Parquet stage "
                                    "(rejects included) and run the three results from it")
+    p.add_argument("--state-partitions", type=int, help="stream mode: state-store partitions, fixed for the life of "
+                                                        "the checkpoint (default: spark.sql.shuffle.partitions)")
     a = p.parse_args(argv)
 
     q = {"query1": "q1", "q1": "q1", "query2": "q2", "q2": "q2"}.get(a.query.lower())
     if q is None:
         print(f"usage: {USAGE}")
         return 2
+    if a.stream and not a.checkpoint:
+        p.error("--stream needs --checkpoint: a shared folder of this job's own, kept between runs")
     latency = a.latency.lower() == "true"
 
     from windtally import get_spark
     from windtally.operators.quality import rejects, valid_only
     from windtally.plans import jobs
     from windtally.plans.fixtures import comments_from_events, events_stream, events_to_comments
-    from windtally.session import checkpoint_root
     from windtally.sources import comments as src
     from windtally.sources.sinks import INPUT_TOPIC
 
@@ -75,16 +78,17 @@ def main(argv: list[str], spark=None) -> int:
 
     trigger = {"processingTime": a.trigger_interval} if a.trigger_interval else None
     if a.stream and a.stage and checked is not None:
-        ck = a.checkpoint or f"{checkpoint_root(spark)}/{q}"
+        ck = a.checkpoint
         handles = jobs.start_staged(checked, q, stage=a.stage, out=a.out, checkpoint=ck, sink=a.sink,
                                     latency=latency, delay=a.delay, kafka=kafka, trigger=trigger,
-                                    chained=not a.direct)
+                                    chained=not a.direct, state_partitions=a.state_partitions)
         for h in handles:
             h.awaitTermination()
     elif a.stream:
-        ck = a.checkpoint or f"{checkpoint_root(spark)}/{q}"
+        ck = a.checkpoint
         handles = jobs.start_streams(comments, q, out=a.out, checkpoint=ck, sink=a.sink, latency=latency,
-                                     delay=a.delay, kafka=kafka, trigger=trigger, chained=not a.direct)
+                                     delay=a.delay, kafka=kafka, trigger=trigger, chained=not a.direct,
+                                     state_partitions=a.state_partitions)
         if checked is not None and a.quarantine:
             handles.append(rejects(checked).writeStream.format("parquet").option("path", a.quarantine)
                            .option("checkpointLocation", f"{ck}/quarantine")

@@ -73,7 +73,7 @@ def _python_verdict(member, text):
     if member in ("userID", "commentID"):
         return bool(_re.fullmatch(r"\+?[0-9]+", text)) and int(text) <= 4294967295
     if member == "createDate":
-        return bool(_re.fullmatch(r"[+-]?[0-9]+", text)) and -62135596800000 <= int(text) <= 253402300799999
+        return bool(_re.fullmatch(r"[+-]?[0-9]+", text)) and abs(int(text)) < 9223372036854775 - 60 * 86400000
     return True
 
 

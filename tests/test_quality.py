@@ -45,10 +45,13 @@ CASES = [
     ("v31", "k", doc(createDate=""), "bad:createDate"),
     ("v32", "k", doc(extra=1), None),
     ("v33", None, doc(), None),
-    ("x01", "k", doc(createDate=9223372036854775807), "bad:createDate"),
-    ("x02", "k", doc(createDate=-9223372036854775808), "bad:createDate"),
-    ("x03", "k", doc(approveDate=253402300800000), "bad:approveDate"),
+    ("x01", "k", doc(createDate=9223372036854775807), "range:createDate"),
+    ("x02", "k", doc(createDate=-9223372036854775808), "range:createDate"),
+    ("x03", "k", doc(approveDate=253402300800000), None),
     ("x04", "k", doc(createDate="+1514764800000"), None),
+    ("x05", "k", doc(depth="1\n"), "bad:depth"),
+    ("x06", "k", doc(userID="1\n"), "bad:userID"),
+    ("x07", "k", doc(createDate="1514764800000\n"), "bad:createDate"),
 ]
 
 

@@ -6,8 +6,9 @@ parses.  The rules are applied to the *text* of each member:
 =====================  ==========================================================
 members                accepted text
 =====================  ==========================================================
-approveDate createDate optional sign + digits, fits signed 64-bit, and the instant
-                       lies in years 0001-9999
+approveDate createDate optional sign + digits, fits signed 64-bit; a createDate that
+                       no timestamp window can hold is ``range:createDate``, an
+                       approveDate outside years 0001-9999 is valid and reads NULL
 articleWordCount
 commentID inReplyTo
 userID                 optional ``+`` + digits, value in 0 .. 4294967295
@@ -18,7 +19,7 @@ string members         anything; a JSON null becomes the text ``null``
 
 Instead of silently dropping, every row gets ``is_valid`` and
 ``reject_reason`` (the first failing rule in member order: ``value_null``,
-``not_json``, ``missing:<member>``, ``bad:<member>``), so bad records can be
+``not_json``, ``missing:<member>``, ``bad:<member>``, ``range:createDate``), so bad records can be
 routed to a quarantine sink.  All checks are built-in column expressions —
 no Python runs per row.
 """
@@ -35,13 +36,13 @@ from windtally.schema import (BOOL_FIELDS, EPOCH_FIELDS, INT_FIELDS, STRING_FIEL
                               TYPED_NAME, UNSIGNED_FIELDS, WIRE_FIELDS)
 
 # --- fixed values: accepted text patterns and ranges ---------------------------
-SIGNED_DIGITS = r"^[+-]?[0-9]+$"
-UNSIGNED_DIGITS = r"^[+]?[0-9]+$"
+SIGNED_DIGITS = r"^[+-]?[0-9]+\z"
+UNSIGNED_DIGITS = r"^[+]?[0-9]+\z"
 UNSIGNED_MAX = 4294967295
-# accepted instants: 0001-01-01T00:00:00Z .. 9999-12-31T23:59:59.999Z
-# (window arithmetic on anything further out would overflow 64-bit microseconds)
-EPOCH_MS_RANGE = (-62135596800000, 253402300799999)
-EPOCH_S_RANGE = (-62135596800, 253402300799)
+# event times that 64-bit microseconds and a 30-day window around them can hold
+EVENT_MS_RANGE = (-9223372036854775 + 60 * 86400000, 9223372036854775 - 60 * 86400000)
+# years 0001-9999, which every client can read: other approveDates are NULL
+APPROVE_MS_RANGE = (-62135596800000, 253402300799999)
 # -----------------------------------------------------------------------------
 
 
@@ -49,9 +50,14 @@ def _ok(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def _epoch_ok(t: Column, bounds: tuple[int, int]) -> Column:
-    v = t.try_cast("bigint")
-    return _ok(t.rlike(SIGNED_DIGITS) & v.between(*bounds))
+def _epoch_ok(t: Column) -> Column:
+    return _ok(t.rlike(SIGNED_DIGITS) & t.try_cast("bigint").isNotNull())
+
+
+def _in_range(t: Column, bounds_ms: tuple[int, int], time_unit: str) -> Column:
+    """Within ``bounds_ms`` (compared in the member's own unit, nothing multiplied)."""
+    per = 1 if time_unit == "ms" else 1000
+    return _ok(t.try_cast("bigint").between(-(-bounds_ms[0] // per), bounds_ms[1] // per))
 
 
 def _unsigned_ok(t: Column) -> Column:
@@ -71,12 +77,13 @@ def field_checks(get: Getter, present: Getter, time_unit: str = "ms") -> list[tu
 
     ``get(member)`` is the member's text, ``present(member)`` whether the
     member exists at all (a JSON null exists)."""
-    limit = EPOCH_MS_RANGE if time_unit == "ms" else EPOCH_S_RANGE
     checks = [(_ok(present(f)), f"missing:{f}") for f in WIRE_FIELDS]
     for f in WIRE_FIELDS:
         t = get(f)
         if f in EPOCH_FIELDS:
-            checks.append((_epoch_ok(t, limit), f"bad:{f}"))
+            checks.append((_epoch_ok(t), f"bad:{f}"))
+            if f == "createDate":
+                checks.append((_in_range(t, EVENT_MS_RANGE, time_unit), f"range:{f}"))
         elif f in UNSIGNED_FIELDS:
             checks.append((_unsigned_ok(t), f"bad:{f}"))
         elif f in INT_FIELDS:
@@ -88,14 +95,14 @@ def typed_members(get: Getter, time_unit: str = "ms") -> list[tuple[str, Column]
     """The 15 typed columns from the members' text.  Only meaningful where
     the row is valid (guarded by the caller)."""
     to_ts = F.timestamp_millis if time_unit == "ms" else F.timestamp_seconds
-    bounds = EPOCH_MS_RANGE if time_unit == "ms" else EPOCH_S_RANGE
     cols = []
     for f in WIRE_FIELDS:
         t = get(f)
         if f in EPOCH_FIELDS:
             # converted only inside the accepted range: these expressions are
             # evaluated for every row, invalid ones included (ANSI overflow)
-            c = F.when(_epoch_ok(t, bounds), to_ts(t.try_cast("bigint")))
+            bounds = EVENT_MS_RANGE if f == "createDate" else APPROVE_MS_RANGE
+            c = F.when(_epoch_ok(t) & _in_range(t, bounds, time_unit), to_ts(t.try_cast("bigint")))
         elif f in UNSIGNED_FIELDS:
             c = t.try_cast("bigint")
         elif f in INT_FIELDS:
@@ -139,7 +146,9 @@ def validate_members(staged: DataFrame, get: Getter, present: Getter,
 
 # Every member parsed as text: numbers, booleans and nested values keep their
 # JSON text, a JSON null stays NULL.
-_MEMBERS_AS_TEXT = T.StructType([T.StructField(f, T.StringType(), True) for f in WIRE_FIELDS])
+_MEMBERS_AS_TEXT = T.StructType([T.StructField(f, T.StringType(), True) for f in [*WIRE_FIELDS, "_corrupt_record"]])
+# Members and names take double quotes only; text after the closing brace is ignored.
+_JSON_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
 def with_validity(envelope: DataFrame, entry_time: Column | None = None) -> DataFrame:
@@ -156,10 +165,10 @@ def with_validity(envelope: DataFrame, entry_time: Column | None = None) -> Data
     """
     keep = ["key", "value"] + (["timestamp"] if "timestamp" in envelope.columns else [])
     staged = envelope.select(*keep,
-                             F.from_json(F.col("value"), _MEMBERS_AS_TEXT).alias("__s"),
+                             F.from_json(F.col("value"), _MEMBERS_AS_TEXT, _JSON_OPTIONS).alias("__s"),
                              F.json_object_keys(F.col("value")).alias("__k"))
     pre = [(F.col("value").isNotNull(), "value_null"),
-           (F.col("__k").isNotNull(), "not_json")]
+           (F.col("__k").isNotNull() & F.col("__s._corrupt_record").isNull(), "not_json")]
     out = validate_members(staged, lambda f: F.col("__s").getField(f),
                            lambda f: F.array_contains(F.col("__k"), f), pre, "ms", keep)
     et = entry_time if entry_time is not None else F.unix_millis(F.current_timestamp())

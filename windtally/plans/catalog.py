@@ -203,7 +203,8 @@ def _ntz(df):
 
 
 @_register("valid_comments", f"""WITH m AS ({_members_sql(1000)})
-SELECT approve_ts, article_id, article_word_count, comment_id, comment_type, create_ts, depth,
+SELECT CASE WHEN fault = 15 THEN NULL ELSE approve_ts END AS approve_ts, article_id, article_word_count, comment_id,
+       comment_type, create_ts, depth,
        CASE WHEN fault = 9 THEN false ELSE editors_selection END AS editors_selection,
        in_reply_to, parent_user_display_name, recommendations, section_name, user_display_name, user_id,
        CASE WHEN fault = 12 THEN 'null' ELSE user_location END AS user_location
@@ -241,7 +242,7 @@ def _csv_rt(spark, sf_dir):
 
 
 # ------------------------------------------------------------ streaming (T, X)
-def _run_stream(spark, sf_dir, query, window):
+def _run_stream(spark, sf_dir, query, window, change=lambda c: c):
     """Replay ``events`` as a file stream (zero-delay watermark) through the
     append-mode pipeline; return the windows it closed.  Output and state go
     to fresh folders under the shared checkpoint root."""
@@ -250,7 +251,7 @@ def _run_stream(spark, sf_dir, query, window):
     from windtally.streaming.runner import start
 
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    handle = start(events_to_comments(events_stream(spark, sf_dir)), query, window, path=out, checkpoint=ck,
+    handle = start(change(events_to_comments(events_stream(spark, sf_dir))), query, window, path=out, checkpoint=ck,
                    state_partitions=spark.sparkContext.defaultParallelism)
     handle.awaitTermination()
     if handle.exception() is not None:
@@ -267,7 +268,21 @@ _register("stream_rank_7d", _closed(_rank_sql(_EVENTS_CTE, "7d"), "7 days"))(
     lambda spark, sf_dir: _run_stream(spark, sf_dir, "q1", "7d"))
 _register("stream_profile_24h", _closed(_profile_sql(_EVENTS_CTE, "24h"), "24 hours"))(
     lambda spark, sf_dir: _run_stream(spark, sf_dir, "q2", "24h"))
+_register("stream_rank_24h", _closed(_rank_sql(_EVENTS_CTE, "24h"), "24 hours"))(
+    lambda spark, sf_dir: _run_stream(spark, sf_dir, "q1", "24h"))
 
+# From this day on all comments are replies: they count nowhere in Q2, but they close its windows.
+_REPLIES_FROM = "2024-01-25"
+_REPLIES_CTE = _EVENTS_CTE.replace("event_type = 'click'", f"event_type = 'click' AND ts < TIMESTAMP '{_REPLIES_FROM}'")
+
+
+def _late_replies(comments):
+    return comments.withColumn("depth", F.when(F.col("create_ts") < F.lit(_REPLIES_FROM).cast("timestamp"), F.col("depth")).otherwise(2))
+
+
+for _w, _width in (("24h", "24 hours"), ("7d", "7 days"), ("30d", "30 days")):
+    _register(f"stream_profile_{_w}_replies", _closed(_profile_sql(_REPLIES_CTE, _w), _width))(
+        lambda spark, sf_dir, w=_w: _run_stream(spark, sf_dir, "q2", w, _late_replies))
 
 
 def _run_native_profile(spark, sf_dir, window):

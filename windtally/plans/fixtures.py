@@ -105,17 +105,21 @@ FAULTS = {
     12: None,                  # userLocation = null -> valid, text "null"
     13: None,                  # extra unknown member -> valid
     14: "bad:approveDate",     # approveDate = ""
+    15: None,                  # approveDate past year 9999 -> valid, NULL
+    16: "bad:depth",           # depth = "1" and a line feed
+    17: "bad:userID",          # userID = "5" and a line feed
+    18: "range:createDate",    # createDate that no timestamp holds
 }
 # member -> {fault: replacement text (None = JSON null)}
 _MEMBER_FAULTS = {
-    "depth": {4: "1.5", 5: " 1 "},
-    "userID": {6: "-4", 7: "4294967296"},
+    "depth": {4: "1.5", 5: " 1 ", 16: "1\n"},
+    "userID": {6: "-4", 7: "4294967296", 17: "5\n"},
     "recommendations": {8: "2147483648"},
     "editorsSelection": {9: "maybe"},
-    "createDate": {10: "abc"},
+    "createDate": {10: "abc", 18: "9223372036854775807"},
     "commentID": {11: None},
     "userLocation": {12: None},
-    "approveDate": {14: ""},
+    "approveDate": {14: "", 15: "253402300800000"},
 }
 _REMOVED = {2: "articleId", 3: "userLocation"}
 

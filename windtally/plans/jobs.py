@@ -72,8 +72,12 @@ def write_batch(results: dict[str, DataFrame], query: str, sink: str, out: str |
 
 def start_streams(comments: DataFrame, query: str, *, out: str, checkpoint: str, sink: str = "text",
                   latency: bool = False, delay: str = "0 seconds", trigger: dict | None = None,
-                  kafka: dict[str, str] | None = None, chained: bool = True) -> list[StreamingQuery]:
-    """Start the three continuous results of ``query`` on one comment stream."""
+                  kafka: dict[str, str] | None = None, chained: bool = True,
+                  state_partitions: int | None = None) -> list[StreamingQuery]:
+    """Start the three continuous results of ``query`` on one comment stream.
+
+    ``state_partitions`` is fixed for the life of ``checkpoint``; unset, it is
+    the session's ``spark.sql.shuffle.partitions``."""
     handles = []
     for w in WINDOWS[query]:
         topic = RESULT_TOPICS[(query, w)]
@@ -82,7 +86,7 @@ def start_streams(comments: DataFrame, query: str, *, out: str, checkpoint: str,
             fmt="rows" if sink == "parquet" else "lines", latency=latency, delay=delay, sink=sink,
             kafka_options={**(kafka or {}), "topic": topic} if sink == "kafka" else None,
             trigger=trigger, name=topic.replace("-", "_"), chained=chained,
-            state_partitions=comments.sparkSession.sparkContext.defaultParallelism))
+            state_partitions=state_partitions))
     return handles
 
 
@@ -105,7 +109,7 @@ def publish(checked: DataFrame, sink: str, out: str | None = None, kafka: dict[s
 def start_staged(checked: DataFrame, query: str, *, stage: str, out: str, checkpoint: str,
                  sink: str = "text", latency: bool = False, delay: str = "0 seconds",
                  trigger: dict | None = None, kafka: dict[str, str] | None = None,
-                 chained: bool = True) -> list[StreamingQuery]:
+                 chained: bool = True, state_partitions: int | None = None) -> list[StreamingQuery]:
     """Decode/validate once into ``stage`` (valid rows + quarantine), then run
     the three results of ``query`` from the stage.
 
@@ -119,4 +123,4 @@ def start_staged(checked: DataFrame, query: str, *, stage: str, out: str, checkp
     comments = runner.staged_comments(checked.sparkSession, stage)
     return [staging] + start_streams(comments, query, out=out, checkpoint=checkpoint, sink=sink,
                                      latency=latency, delay=delay, trigger=trigger, kafka=kafka,
-                                     chained=chained)
+                                     chained=chained, state_partitions=state_partitions)

@@ -64,6 +64,23 @@ def bucket_counts(comments: DataFrame, latency: bool = False) -> DataFrame:
     return two_h.withColumn("bucket", bucket_label(F.col("window.start")))
 
 
+def bucket_counts_all(comments: DataFrame, latency: bool = False) -> DataFrame:
+    """``bucket_counts`` for streams: every comment reaches the two-hour
+    aggregate and only the counting is conditional.
+
+    In a stream all comments move the watermark, replies too.  A filter on
+    depth would be pushed below the watermark and leave windows open for as
+    long as only replies arrive; as there are 12 windows a day, keeping their
+    state costs nothing."""
+    ensure_utc(comments.sparkSession)
+    direct = F.col("depth") == 1
+    aggs = [F.count_if(direct).alias("n")]
+    if latency:
+        aggs.append(F.max(F.when(direct, F.col("entry_time"))).alias("max_entry_time"))
+    two_h = comments.groupBy(TWO_HOURS.over("create_ts").alias("window")).agg(*aggs).filter("n > 0")
+    return two_h.withColumn("bucket", bucket_label(F.col("window.start")))
+
+
 def q2(comments: DataFrame, latency: bool = False) -> dict[str, DataFrame]:
     """Flat rows ``window_start, bucket, n[, max_entry_time]`` for 24h / 7d / 30d.
 

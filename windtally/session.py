@@ -57,17 +57,26 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """One JVM on one machine (``local-cluster`` has executors of its own)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
-    unset — local runs and tests — a private folder is created and recorded
-    in the session so later calls agree.
+    Read from ``spark.checkpoint.dir`` (set by the cluster).  Where it is
+    unset, a local master gets a private folder, recorded in the session so
+    later calls agree; on a cluster that is an error, as executors do not see
+    the driver's disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is not set: give a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="windtally-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -78,7 +87,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint root."""
     path = f"{checkpoint_root(spark)}/{kind}-{uuid.uuid4().hex}"
-    if path.startswith("/"):  # plain local path (tests); URIs are created by Spark's writers
+    if path.startswith("/") and _is_local(spark):  # plain local path (tests); URIs are created by Spark's writers
         os.makedirs(path, exist_ok=True)
     return path
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windtally.operators.quality import validate_members, with_validity
 from windtally.schema import (CSV_SCHEMA, EPOCH_FIELDS, STRING_FIELDS, TYPED_NAME, WIRE_FIELDS)
@@ -108,26 +109,27 @@ def encode_wire(typed: DataFrame) -> DataFrame:
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
-def csv_members() -> Column:
-    """``map<string,string>`` of the 15 CSV columns.  Empty string members
-    read as NULL by the CSV parser are restored to ``""``; an empty numeric
-    member stays NULL and is rejected by the typed rules."""
-    kv = []
-    for f in WIRE_FIELDS:
-        c = F.col(f)
-        if f in STRING_FIELDS:
-            c = F.coalesce(c, F.lit(""))
-        kv += [F.lit(f), c]
-    return F.create_map(*kv)
+RAW_LINE = "_corrupt_record"
 
 
 def validate_csv(rows: DataFrame, entry_time: Column | None = None) -> DataFrame:
-    """Validate parsed CSV rows (15 string columns); dates are epoch seconds.
-    Every member is present in a CSV row; a missing number is NULL and fails
-    its typed rule."""
-    staged = rows.select(csv_members().alias("__m"))
-    out = validate_members(staged, lambda f: F.col("__m")[f], lambda f: F.map_contains_key(F.col("__m"), f),
-                           [], "s", [])
+    """Validate parsed CSV rows (15 string columns, and the raw line of those
+    with another number of fields); dates are epoch seconds.
+
+    Returns ``key`` (the comment id's text), ``value`` (the CSV line: as read
+    where its number of fields is wrong, else written anew from the fields),
+    the typed members and the verdict.  An empty string member, NULL to the
+    CSV parser, is ``""``; a member that a short row lacks reads ``null`` if it
+    is text and is rejected if it is a number."""
+    raw = F.col(RAW_LINE) if RAW_LINE in rows.columns else F.lit(None).cast("string")
+
+    def get(f: str) -> Column:
+        return F.coalesce(F.col(f), F.when(raw.isNull(), F.lit(""))) if f in STRING_FIELDS else F.col(f)
+
+    opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "mode")}
+    line = F.coalesce(raw, F.to_csv(F.struct(*WIRE_FIELDS), opts))
+    staged = rows.withColumn("key", F.col("commentID")).withColumn("value", line)
+    out = validate_members(staged, get, lambda f: F.lit(True), [], "s", ["key", "value"])
     et = entry_time if entry_time is not None else F.unix_millis(F.current_timestamp())
     return out.withColumn("entry_time", et)
 
@@ -138,7 +140,8 @@ def csv_comments(spark: SparkSession, path: str, entry_time: Column | None = Non
     files arriving in ``path`` as a stream)."""
     ensure_utc(spark)
     reader = spark.readStream if stream else spark.read
-    rows = reader.options(**CSV_OPTIONS).schema(CSV_SCHEMA).csv(path)
+    schema = T.StructType([*CSV_SCHEMA.fields, T.StructField(RAW_LINE, T.StringType())])
+    rows = reader.options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", RAW_LINE).schema(schema).csv(path)
     return validate_csv(rows, entry_time)
 
 

@@ -12,8 +12,10 @@ Plan of one running result (e.g. Q1, 7 days)::
   state in the same micro-batch; ranking inside ``foreachBatch`` is exact
   and reuses the batch operator (``top_n``) unchanged — no unbounded
   per-window buffer is kept in state.
-* Each batch writes to ``<path>/batch=<id>`` with overwrite, so a batch
-  replayed after a failure replaces its own output (idempotent).
+* Each batch that closes a window writes to ``<path>/batch=<id>`` with
+  overwrite, so a batch replayed after a failure replaces its own output
+  (idempotent); other batches write nothing.  Text lines of a batch are
+  sorted by window start.
 * ``checkpointLocation`` is mandatory: offsets, state and commits survive
   driver or executor loss.
 * Late data: a record behind the watermark of the previous batch is
@@ -31,7 +33,7 @@ from windtally.functions.render import profile_line, ranking_line, with_latency
 from windtally.functions.timewin import DAY, DAYS30, HOUR, WEEK
 from windtally.operators.ranking import ordered_profile, ranking_array, top_n, with_window_max
 from windtally.operators.rollup import flatten, hierarchy, rollup
-from windtally.plans.queries import bucket_counts
+from windtally.plans.queries import bucket_counts_all
 
 Q1_CHAIN = {"1h": (HOUR,), "24h": (HOUR, DAY), "7d": (HOUR, DAY, WEEK)}
 Q2_SPEC = {"24h": DAY, "7d": WEEK, "30d": DAYS30}
@@ -58,7 +60,7 @@ def window_counts(comments: DataFrame, query: str, window: str, latency: bool =
         chain = Q1_CHAIN[window] if chained else Q1_CHAIN[window][-1:]
         return hierarchy(wm.select(*cols), chain, ["article_id"], with_entry=latency)[chain[-1].name]
     if query == "q2":
-        return rollup(bucket_counts(wm, latency), Q2_SPEC[window], ["bucket"])
+        return rollup(bucket_counts_all(wm, latency), Q2_SPEC[window], ["bucket"])
     raise ValueError(f"unknown query {query!r}")
 
 
@@ -84,20 +86,26 @@ def batch_writer(path: str, query: str, fmt: str = "rows", latency: bool = False
     """``foreachBatch`` function: finish the closed windows and write them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The closed windows of one micro-batch are read more than once
-        # (ranking + window totals); keep them instead of re-running the
-        # stateful part of the batch plan.
-        batch = batch.persist()
+        # Q1 with latency reads the closed windows twice (ranking + window
+        # totals): keep them instead of re-running the stateful part.
+        twice = latency and query == "q1"
+        batch = batch.persist() if twice else batch
+        # the result is bounded: 3 or 12 rows for each closed window
+        out = finish_batch(batch, query, fmt, latency).persist()
         try:
-            _write(finish_batch(batch, query, fmt, latency), batch_id)
+            if out.count():  # a batch that closes no window leaves no folder
+                _write(out, batch_id)
         finally:
-            batch.unpersist()
+            out.unpersist()
+            if twice:
+                batch.unpersist()
 
     def _write(out: DataFrame, batch_id: int) -> None:
         if sink == "parquet":
             out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         elif sink == "text":
-            out.select("value").write.mode("overwrite").text(f"{path}/batch={batch_id}")
+            ordered = out.orderBy("window_start") if "window_start" in out.columns else out
+            ordered.select("value").write.mode("overwrite").text(f"{path}/batch={batch_id}")
         elif sink == "kafka":
             out.select("value").write.format("kafka").options(**(kafka_options or {})).save()
         else:
