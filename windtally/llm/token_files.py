@@ -36,9 +36,10 @@ from .common import stored, table, text_of
 
 END_ID = 0
 #: Words kept by each of the two generations of a worker's cache.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 _TWO_BLANKS = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
+_SOLID = re.compile(r" ?\S+")
 _MARKS = ".,;:!?\"'()[]{}|-*&%$#"
 
 
@@ -67,18 +68,40 @@ class Encoder:
         self.by_word = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                         and not spec.get("normalizer") and not spec["model"].get("dropout")
                         and not any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens") or []))
+        line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_feed = line_feed[0] if len(line_feed) == 1 else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of short parts.  Those without blanks go through the library a
+        thousand at a time, with line feeds between them to part the ids by."""
+        out: list[bytes | None] = [None] * len(parts)
+        solid = [i for i, p in enumerate(parts) if _SOLID.fullmatch(p)] if self.line_feed is not None else []
+        groups = [solid[lo:lo + 1000] for lo in range(0, len(solid), 1000)]
+        width = self.kind.itemsize
+        for some, data in zip(groups, self.whole(["\n".join([parts[i] for i in g]) for g in groups]) if groups else []):
+            cuts = np.flatnonzero(np.frombuffer(data, self.kind) == self.line_feed) * width
+            for i, a, b in zip(some, [0, *(cuts + width).tolist()], [*cuts.tolist(), len(data)]):
+                out[i] = data[a:b]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self.whole([parts[i] for i in rest]) if rest else []):
+            out[i] = x
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self.whole(texts)
         # a word stands for itself with the blank before it; a text's first word is kept under a leading NUL
         cut = []
-        for t in texts:
+        strange = {i: b for i, b in enumerate(self.whole([t])[0] if "\0" in t else None for t in texts) if b is not None}
+        for i, t in enumerate(texts):
+            if i in strange:
+                cut.append([])
+                continue
             words = _SAFE_CUT.split(t) if _TWO_BLANKS.search(t) else t.split(" ")
             words[0] = "\0" + words[0]
             cut.append(words)
@@ -90,46 +113,56 @@ class Encoder:
         if missing:
             self.learn(missing)
         get = self.young.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+        return [strange.get(i) or b"".join(map(get, words)) for i, words in enumerate(cut)]
 
     def learn(self, words: set[str]) -> None:
         """Put every word into the young generation, encoding what is in neither."""
-        composed: dict[str, list[str]] = {}
-        plain: dict[str, None] = {}
-
-        def need(part: str) -> str:
-            if part not in self.young and part not in plain:
-                if part in self.old:
-                    self.young[part] = self.old[part]
+        young, old = self.young, self.old
+        composed: list[tuple[str, list[str]]] = []
+        plain: set[str] = set()
+
+        def need(part: str) -> None:
+            if part not in young:
+                if part in old:
+                    young[part] = old[part]
                 else:
-                    plain[part] = None
-            return part
+                    plain.add(part)
 
         for w in words:
-            if w in self.old:
-                self.young[w] = self.old[w]
-                continue
-            lines = w.split("\n")
-            if len(lines) > 1 and all(x and not x[0].isspace() and not x[-1].isspace() for x in (lines[0].lstrip("\0"), *lines[1:])):
-                parts = [lines[0]]
-                for x in lines[1:]:
-                    parts += ["\0\n", "\0" + x]
+            if w in old:
+                young[w] = old[w]
+            elif w.isalpha():
+                plain.add(w)
             else:
-                parts = [w]
-            pieces = []
-            for x in parts:
-                core = x.rstrip(_MARKS)
-                if core != x and core and core[-1].isalpha():
-                    pieces += [need(core), need("\0" + x[len(core):])]
-                else:
-                    pieces.append(need(x))
-            composed[w] = pieces
+                pieces = self.cut(w)
+                for p in pieces:
+                    need(p)
+                if len(pieces) > 1:
+                    composed.append((w, pieces))
         if plain:
-            ids = self.whole([p[1:] if p[:1] == "\0" else " " + p for p in plain])
-            self.young.update(zip(plain, ids))
-        for w, pieces in composed.items():
-            if w not in self.young:
-                self.young[w] = b"".join(self.young[p] for p in pieces)
+            order = list(plain)
+            young.update(zip(order, self.parts([p[1:] if p[:1] == "\0" else " " + p for p in order])))
+        for w, pieces in composed:
+            young[w] = b"".join([young[p] for p in pieces])
+
+    @staticmethod
+    def cut(w: str) -> list[str]:
+        """Parts of a word at lone line feeds and before marks that follow a letter."""
+        lines = [w]
+        if "\n" in w:
+            lines = w.split("\n")
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in (lines[0].lstrip("\0"), *lines[1:])):
+                lines = [lines[0], *(y for x in lines[1:] for y in ("\0\n", "\0" + x))]
+            else:
+                lines = [w]
+        pieces = []
+        for x in lines:
+            core = x.rstrip(_MARKS)
+            if core != x and core and core[-1].isalpha():
+                pieces += [core, "\0" + x[len(core):]]
+            else:
+                pieces.append(x)
+        return pieces
 
 
 def worker_encoder(path: str) -> Encoder:
