@@ -113,7 +113,8 @@ def op5_prefix_decontamination(spark, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-ORACLE_WORDS = "list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), x -> x <> '')"
+ORACLE_WORDS = ("[x for x in string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+                "'[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') if x <> '']")
 
 ORACLE = f"""
 with d as (select doc_id, {ORACLE_WORDS.format('text')} w from documents),
