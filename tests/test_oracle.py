@@ -2,11 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from windtally.plans.catalog import ORACLE_SQL, QUERIES
 
 from conftest import SF_SMALL
 
-FAST = sorted(n for n in queries() if not n.startswith("stream_"))
+FAST = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
 @pytest.fixture(scope="module")
@@ -18,12 +19,12 @@ def con():
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, con, name):
     from tools.oracle_check import compare
-    r = compare(spark, name, queries()[name], oracle_sql().get(name), SF_SMALL, con)
+    r = compare(spark, name, QUERIES[name], ORACLE_SQL.get(name), SF_SMALL, con)
     assert r.get("values_match", True), r
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 def test_entry(spark):
