@@ -74,6 +74,8 @@ def main(argv: list[str], spark=None) -> int:
             checked = src.csv_comments(spark, a.input, stream=a.stream)
         else:
             checked = src.kafka_comments(spark, src.kafka_options(a.brokers, a.topic or INPUT_TOPIC), stream=a.stream)
+        if a.quarantine and not a.stream:
+            checked = jobs.decoded(checked)
         comments = valid_only(checked)
 
     trigger = {"processingTime": a.trigger_interval} if a.trigger_interval else None

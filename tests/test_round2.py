@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_sources import HEADER, ROWS
+from windtally.functions.render import with_latency
 from windtally.operators.quality import rejects, valid_only, with_validity
 from windtally.sources.comments import csv_comments
 from windtally.streaming import runner
@@ -68,3 +69,19 @@ def test_replies_close_q2_windows(spark, scratch):
     # one folder for the one batch that closed a window with direct comments
     assert len([d for d in os.listdir(out) if d.startswith("batch=")]) == 1
 
+
+def test_latency_on_rows_and_lines(spark):
+    rows = spark.createDataFrame([(1, 40)], "n int, max_entry_time bigint")
+    assert with_latency(rows, F.lit(100)).collect() == [(1, 40, 60)]
+    line = spark.createDataFrame([("x ", 40)], "value string, max_entry_time bigint")
+    assert with_latency(line, F.lit(100)).first().value == "x Latency = 60"
+
+
+def test_short_and_long_csv_rows(spark, scratch):
+    d = scratch("csv")
+    members = ["1", "a", "2", "3", "comment", "4", "1", "true", "0", "", "5", "s", "u", "6", '"x, ""y"""']
+    with open(f"{d}/rows.csv", "w") as f:
+        f.write("\n".join(",".join(m) for m in (members, members[:-1], [*members, "e", ""])) + "\n")
+    got = valid_only(csv_comments(spark, d, F.lit(0).cast("bigint"), header=False)).collect()
+    # an empty member stays empty in rows of any length, a missing one reads null
+    assert sorted((r.parent_user_display_name, r.user_location) for r in got) == [("", "null"), ("", 'x, "y"'), ("", 'x, "y"')]

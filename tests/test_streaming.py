@@ -77,7 +77,7 @@ def test_stream_latency_rank_equals_batch(spark, scratch):
     out, ck = scratch("out"), scratch("ck")
     h = start(events_to_comments(events_stream(spark, SF_SMALL)), "q1", "24h", path=out, checkpoint=ck, latency=True)
     h.awaitTermination()
-    streamed = spark.read.parquet(out).drop("batch")
+    streamed = spark.read.parquet(out).drop("batch", "latency_ms")
     assert "max_entry_time" in streamed.columns
     batch = QUERIES["rank_article_24h_entry"](spark, SF_SMALL)
     max_ts = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
@@ -102,7 +102,7 @@ def test_stream_profile_latency_rows_equal_batch(spark, scratch):
     out, ck = scratch("out"), scratch("ck")
     h = start(events_to_comments(events_stream(spark, SF_SMALL)), "q2", "7d", path=out, checkpoint=ck, latency=True)
     h.awaitTermination()
-    streamed = spark.read.parquet(out).drop("batch")
+    streamed = spark.read.parquet(out).drop("batch", "latency_ms")
     batch = QUERIES["profile_7d_entry"](spark, SF_SMALL)
     max_ts = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max("ts")).first()[0]
     closed = batch.filter(F.col("window_start") + F.expr("INTERVAL 7 DAYS") <= F.lit(max_ts))

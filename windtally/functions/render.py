@@ -55,13 +55,16 @@ def _with_rest(df: DataFrame, line: Column) -> DataFrame:
     return df.select(*cols)
 
 
-def with_latency(lines: DataFrame) -> DataFrame:
-    """Append ``latency_ms = now - max_entry_time`` and the latency text.
+def with_latency(rows: DataFrame, now: Column | None = None) -> DataFrame:
+    """Append ``latency_ms = now - max_entry_time`` and, to lines, the latency text.
 
-    ``now`` is fixed per query execution (per micro-batch in a stream), so
-    call this in the sink step, not in a reusable intermediate.
+    ``now`` (epoch ms) is by default the clock, fixed per query execution (per
+    micro-batch in a stream), so call this in the sink step, not in a reusable
+    intermediate.
     """
-    lat = F.unix_millis(F.current_timestamp()) - F.col("max_entry_time")
-    return (lines.withColumn("latency_ms", lat)
-            .withColumn("value", F.concat(F.col("value"), F.lit(LATENCY_PREFIX),
+    now = F.unix_millis(F.current_timestamp()) if now is None else now
+    out = rows.withColumn("latency_ms", now - F.col("max_entry_time"))
+    if "value" not in rows.columns:
+        return out
+    return (out.withColumn("value", F.concat(F.col("value"), F.lit(LATENCY_PREFIX),
                                           F.col("latency_ms").cast("string"))))

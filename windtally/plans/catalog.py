@@ -14,15 +14,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windtally.functions.render import profile_line, ranking_line
+from windtally.functions.render import LATENCY_PREFIX, profile_line, ranking_line, with_latency
 from windtally.functions.timewin import bucket_label
 from windtally.operators.ranking import ordered_profile, ranking_array
 from windtally.operators.rollup import flatten
 from windtally.plans import queries as Q
 from windtally.operators.quality import rejects, valid_only, with_validity
-from windtally.plans.fixtures import FAULTS, comments_from_events, comments_from_lineitem, wire_from_events
+from windtally.plans.fixtures import FAULTS, comments_from_events, comments_from_lineitem, csv_with_faults, wire_from_events
+from windtally.plans.fixtures import table as source_table
 from windtally.schema import TYPED_COLUMNS
-from windtally.sources.comments import encode_csv, encode_wire, parse_csv_lines, validate_csv
+from windtally.sources.comments import csv_comments, encode_csv, encode_wire, parse_csv_lines, validate_csv
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -318,8 +319,156 @@ def _run_stream_latency(spark, sf_dir, window):
     handle.awaitTermination()
     if handle.exception() is not None:
         raise RuntimeError(str(handle.exception()))
-    return spark.read.parquet(out).drop("batch")
+    return spark.read.parquet(out).drop("batch", "latency_ms")
 
 
 _register("stream_rank_1h_entry", _closed(_rank_sql(_EVENTS_CTE, "1h", entry=True), "1 hour"))(
     lambda spark, sf_dir: _run_stream_latency(spark, sf_dir, "1h"))
+
+
+# --------------------------------- the six results, from wire message to line
+_VALID_CTE = _EVENTS_CTE.replace("FROM events", f"FROM events WHERE event_id % 20 NOT IN ({_REJECTED})")
+
+
+def _wire_comments(spark, sf_dir):
+    return valid_only(with_validity(wire_from_events(spark, sf_dir), F.lit(0).cast("bigint")))
+
+
+def _lines(comments, query, window):
+    if query == "q1":
+        return ranking_line(ranking_array(Q.q1(comments, chained=False)[window]))
+    return profile_line(ordered_profile(Q.q2(comments)[window]))
+
+
+#: Event time is replayed in so many steps of so many seconds each; the last takes all the rest.
+STEPS, STEP_SECONDS = 3, 10 * 86400
+
+
+def _step(c, first):
+    return F.least(F.floor((F.unix_seconds(c) - F.lit(first)) / STEP_SECONDS), F.lit(STEPS - 1))
+
+
+def _replay(spark, table, change, query, window, fmt="rows", chained=True):
+    """Stream ``table(step, ...)`` step by step: the rows of a step arrive as
+    new files, and a run of the query (restarted on its checkpoint) takes them
+    in.  Returns the windows closed over all steps."""
+    from windtally.session import scratch_path
+    from windtally.streaming.runner import start
+
+    src, out, ck = (scratch_path(spark, f"stream-{k}") for k in ("in", "out", "ckpt"))
+    for k in range(STEPS):
+        table.where(F.col("step") == k).drop("step").write.mode("append").parquet(src)
+        live = spark.readStream.schema(table.drop("step").schema).parquet(src)
+        handle = start(change(live), query, window, path=out, checkpoint=ck, fmt=fmt, chained=chained,
+                       state_partitions=spark.sparkContext.defaultParallelism)
+        handle.awaitTermination()
+        if handle.exception() is not None:
+            raise RuntimeError(str(handle.exception()))
+    return spark.read.parquet(out).drop("batch")
+
+
+def _wire_steps(spark, sf_dir):
+    """All wire messages, faults included, with the step they arrive in."""
+    events = source_table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"))
+    first = events.select(F.unix_seconds(F.min("ts"))).first()[0] or 0
+    return wire_from_events(spark, sf_dir).join(events, "key").select("key", "value", _step("ts", first).alias("step"))
+
+
+def _stream_wire(spark, sf_dir, query, window):
+    return _replay(spark, _wire_steps(spark, sf_dir), lambda live: valid_only(with_validity(live, F.lit(0).cast("bigint"))),
+                   query, window, fmt="lines")
+
+
+def _closed_valid(sql: str, width: str) -> str:
+    return (f"SELECT * FROM ({sql}) AS t WHERE window_start + INTERVAL '{width}' <= "
+            f"(SELECT max(ts) FROM events WHERE event_id % 20 NOT IN ({_REJECTED}))")
+
+
+for _q, _kind, _sql, _widths in (("q1", "rank", _rank_lines_sql, {"1h": "1 hour", "24h": "24 hours", "7d": "7 days"}),
+                                 ("q2", "profile", _profile_lines_sql, {"24h": "24 hours", "7d": "7 days", "30d": "30 days"})):
+    for _w, _width in _widths.items():
+        _register(f"wire_{_kind}_lines_{_w}", _sql(_VALID_CTE, _w))(
+            lambda spark, sf_dir, q=_q, w=_w: _lines(_wire_comments(spark, sf_dir), q, w))
+        _register(f"stream_wire_{_kind}_lines_{_w}", _closed_valid(_sql(_VALID_CTE, _w), _width))(
+            lambda spark, sf_dir, q=_q, w=_w: _stream_wire(spark, sf_dir, q, w))
+
+
+# ------------------------------------------------------------- late data (T4)
+# Every tenth event arrives one step late.  A row is dropped if its hour ended
+# before the largest time of all earlier steps.
+_LATE_SQL = f"""WITH s AS (
+  SELECT CAST(user_id AS VARCHAR) AS article_id, {_ws('1h', 'ts')} AS window_start, ts,
+         least((CAST(floor(epoch(ts)) AS BIGINT) - (SELECT CAST(floor(epoch(min(ts))) AS BIGINT) FROM events)) // {STEP_SECONDS}
+               + CASE WHEN event_id % 10 = 7 THEN 1 ELSE 0 END, {STEPS - 1}) AS step
+  FROM events),
+wm AS (SELECT k.step, max(s.ts) AS mark FROM (SELECT DISTINCT step FROM s) AS k LEFT JOIN s ON s.step < k.step GROUP BY k.step),
+a AS (SELECT window_start, article_id, count(*) AS n FROM s JOIN wm USING (step)
+      WHERE mark IS NULL OR window_start + INTERVAL '1 hour' > mark GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, article_id ASC) AS rnk FROM a)
+SELECT window_start, CAST(rnk AS INTEGER) AS rnk, article_id, n FROM r
+WHERE rnk <= 3 AND window_start + INTERVAL '1 hour' <= (SELECT max(ts) FROM events)"""
+
+
+@_register("stream_late_rank_1h", _LATE_SQL)
+def _late(spark, sf_dir):
+    """T4: comments that arrive after their window closed are dropped, the others count."""
+    from windtally.plans.fixtures import events_to_comments
+
+    events = source_table(spark, sf_dir, "events")
+    ts = F.col("ts").cast("timestamp")
+    first = events.select(F.unix_seconds(F.min(ts))).first()[0] or 0
+    late = F.when(F.col("event_id") % 10 == 7, 1).otherwise(0)
+    steps = events.withColumn("step", F.least(_step(ts, first) + late, F.lit(STEPS - 1)))
+    return _replay(spark, steps, events_to_comments, "q1", "1h")
+
+
+# -------------------------------------------------------- latency text
+# The clock is a column: five seconds after each window's end.
+def _now():
+    return F.unix_millis((F.col("window_start") + F.expr("INTERVAL '24' HOUR")).cast("timestamp")) + 5000
+
+
+_NOW_SQL = "epoch_us(window_start + INTERVAL '24 hours') // 1000 + 5000"
+
+
+def _latency_sql(rows: str, item: str, order: str) -> str:
+    return f"""WITH r AS ({rows})
+SELECT window_start, max_entry_time, {_NOW_SQL} - max_entry_time AS latency_ms,
+       {_WLABEL_SQL} || ' --> ' || string_agg({item}, '' ORDER BY {order}) || '{LATENCY_PREFIX}' || ({_NOW_SQL} - max_entry_time) AS value
+FROM r GROUP BY window_start, max_entry_time"""
+
+
+_register("rank_lines_24h_latency", _latency_sql(
+    _rank_sql(_EVENTS_CTE, "24h", entry=True), "'{id = ' || article_id || ', n.comm = ' || n || '} '", "rnk"))(
+    lambda spark, sf_dir: with_latency(Q.q1_lines(comments_from_events(spark, sf_dir), latency=True)["24h"], _now()))
+_register("profile_lines_24h_latency", _latency_sql(
+    _profile_sql(_EVENTS_CTE, "24h", entry=True), "'{' || bucket || ', count = ' || n || '} '", "bucket"))(
+    lambda spark, sf_dir: with_latency(Q.q2_lines(comments_from_events(spark, sf_dir), latency=True)["24h"], _now()))
+
+
+# ------------------------------------------------------------- CSV files (S3, P5)
+_CSV_REASONS = {4: "bad:depth", 7: "bad:createDate"}
+
+
+def _csv_files(spark, sf_dir):
+    """All events as CSV files with faults (see ``csv_with_faults``), read back."""
+    from windtally.session import scratch_path
+
+    path = f"{scratch_path(spark, 'csv')}/rows"
+    csv_with_faults(comments_from_events(spark, sf_dir, spread_input=True)).write.text(path)
+    return csv_comments(spark, path, F.lit(0).cast("bigint"), header=False)
+
+
+@_register("csv_file_comments", f"""WITH m AS ({_members_sql(1000000)})
+SELECT {_MEMBERS.replace('user_location', "CASE WHEN fault = 5 THEN 'null' ELSE user_location END AS user_location")}
+FROM m WHERE fault NOT IN ({', '.join(map(str, _CSV_REASONS))})""")
+def _csv_valid(spark, sf_dir):
+    """S3: a short row reads ``null`` for its missing text, a long one keeps its first 15 members."""
+    return _ntz(valid_only(_csv_files(spark, sf_dir)).drop("entry_time"))
+
+
+@_register("csv_file_rejects", f"""SELECT CASE event_id % 20 {' '.join(f"WHEN {k} THEN '{r}'" for k, r in _CSV_REASONS.items())} END AS reject_reason,
+       CAST(event_id AS VARCHAR) AS key FROM events WHERE event_id % 20 IN ({', '.join(map(str, _CSV_REASONS))})""")
+def _csv_rejects(spark, sf_dir):
+    """P5 over S3: the quarantine's keys and reasons."""
+    return rejects(_csv_files(spark, sf_dir)).select("reject_reason", "key")

@@ -151,3 +151,22 @@ def wire_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(k == 1, F.concat(F.lit("{not json: "), doc))
              .otherwise(doc))
     return c.select(F.col("comment_id").cast("string").alias("key"), value.alias("value"))
+
+
+def csv_with_faults(comments: DataFrame) -> DataFrame:
+    """``value``: one CSV line per comment, without header.  ``comment_id % 20``
+    picks the fault: 4 depth "1.5", 5 the last member is missing, 6 two
+    members too many, 7 createDate "soon"."""
+    from windtally.schema import EPOCH_FIELDS, TYPED_NAME, WIRE_FIELDS
+
+    k = F.col("comment_id") % 20
+    members = []
+    for f in WIRE_FIELDS:
+        c = F.col(TYPED_NAME[f])
+        text = (F.unix_seconds(c) if f in EPOCH_FIELDS else c).cast("string")
+        for fault, member, bad in ((4, "depth", "1.5"), (7, "createDate", "soon")):
+            text = F.when(k == fault, bad).otherwise(text) if f == member else text
+        members.append(text.alias(f))
+    full, short = F.to_csv(F.struct(*members)), F.to_csv(F.struct(*members[:-1]))
+    line = F.when(k == 5, short).when(k == 6, F.concat(full, F.lit(",extra,extra"))).otherwise(full)
+    return comments.select(line.alias("value"))

@@ -20,7 +20,7 @@ from windtally.operators.quality import rejects, valid_only
 from windtally.operators.ranking import ordered_profile, ranking_array, top_n, with_window_max
 from windtally.operators.rollup import flatten, rollup
 from windtally.plans import queries as Q
-from windtally.session import checkpoint_root, ensure_dir
+from windtally.session import checkpoint_root, ensure_dir, scratch_path
 from windtally.sources.comments import encode_wire
 from windtally.sources.sinks import RESULT_TOPICS, write_kafka, write_parquet, write_text
 from windtally.streaming import runner
@@ -58,8 +58,8 @@ def write_batch(results: dict[str, DataFrame], query: str, sink: str, out: str |
                 kafka: dict[str, str] | None = None, latency: bool = False) -> None:
     for w, df in results.items():
         topic = RESULT_TOPICS[(query, w)]
-        if latency and "value" in df.columns and "max_entry_time" in df.columns:
-            df = with_latency(df)  # rendered lines get the latency text; rows keep max_entry_time
+        if latency and "max_entry_time" in df.columns:
+            df = with_latency(df)  # lines get the latency text, rows the column
         if sink == "text":
             write_text(df, f"{out}/{topic}")
         elif sink == "parquet":
@@ -90,6 +90,14 @@ def start_streams(comments: DataFrame, query: str, *, out: str, checkpoint: str,
     return handles
 
 
+def decoded(checked: DataFrame) -> DataFrame:
+    """``checked`` written once as Parquet under the shared checkpoint root, so
+    that results and quarantine do not each read and parse the source."""
+    path = f"{scratch_path(checked.sparkSession, 'checked')}/rows"
+    checked.write.parquet(path)
+    return checked.sparkSession.read.schema(checked.schema).parquet(path)
+
+
 def publish(checked: DataFrame, sink: str, out: str | None = None, kafka: dict[str, str] | None = None,
             quarantine: str | None = None) -> None:
     """Valid comments as keyed JSON messages; rejects to a quarantine.
@@ -97,6 +105,7 @@ def publish(checked: DataFrame, sink: str, out: str | None = None, kafka: dict[s
     Kafka gets key (comment id) + value; files get one comment document per
     line (the key is the document's own ``commentID``), which is exactly the
     JSON-lines input ``json_comments`` reads."""
+    checked = decoded(checked) if quarantine else checked
     wire = encode_wire(valid_only(checked))
     if sink == "kafka":
         write_kafka(wire, kafka or {})

@@ -123,25 +123,31 @@ def validate_csv(rows: DataFrame, entry_time: Column | None = None) -> DataFrame
     is text and is rejected if it is a number."""
     raw = F.col(RAW_LINE) if RAW_LINE in rows.columns else F.lit(None).cast("string")
 
+    # fields of a line that has too few or too many, quoted ones counted as one
+    unquoted = F.regexp_replace(raw, r'"(?:[^"]++|"")*+"', "q")
+    fields = F.when(raw.isNull(), len(WIRE_FIELDS)).otherwise(F.size(F.split(unquoted, ",")))
+
     def get(f: str) -> Column:
-        return F.coalesce(F.col(f), F.when(raw.isNull(), F.lit(""))) if f in STRING_FIELDS else F.col(f)
+        there = F.when(F.col("__fields") > WIRE_FIELDS.index(f), F.lit(""))
+        return F.coalesce(F.col(f), there) if f in STRING_FIELDS else F.col(f)
 
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "mode")}
     line = F.coalesce(raw, F.to_csv(F.struct(*WIRE_FIELDS), opts))
-    staged = rows.withColumn("key", F.col("commentID")).withColumn("value", line)
+    staged = rows.withColumn("key", F.col("commentID")).withColumn("value", line).withColumn("__fields", fields)
     out = validate_members(staged, get, lambda f: F.lit(True), [], "s", ["key", "value"])
     et = entry_time if entry_time is not None else F.unix_millis(F.current_timestamp())
     return out.withColumn("entry_time", et)
 
 
 def csv_comments(spark: SparkSession, path: str, entry_time: Column | None = None,
-                 stream: bool = False) -> DataFrame:
+                 stream: bool = False, header: bool = True) -> DataFrame:
     """Validated comments from the historical CSV table (batch, or new CSV
-    files arriving in ``path`` as a stream)."""
+    files arriving in ``path`` as a stream); ``header``: every file starts
+    with a line of names."""
     ensure_utc(spark)
     reader = spark.readStream if stream else spark.read
     schema = T.StructType([*CSV_SCHEMA.fields, T.StructField(RAW_LINE, T.StringType())])
-    rows = reader.options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", RAW_LINE).schema(schema).csv(path)
+    rows = reader.options(**{**CSV_OPTIONS, "header": str(header).lower()}).option("columnNameOfCorruptRecord", RAW_LINE).schema(schema).csv(path)
     return validate_csv(rows, entry_time)
 
 

@@ -70,12 +70,12 @@ def finish_batch(agg: DataFrame, query: str, fmt: str, latency: bool = False) ->
     if query == "q1":
         ranked = top_n(flat)
         if fmt == "rows":
-            return ranked
+            return with_latency(ranked) if latency else ranked
         lines = ranking_line(ranking_array(ranked))
     else:
         if fmt == "rows":
             # window-wide max ingest time on every bucket row (<= 12 rows per window)
-            return with_window_max(flat) if "max_entry_time" in flat.columns else flat
+            return with_latency(with_window_max(flat)) if "max_entry_time" in flat.columns else flat
         lines = profile_line(ordered_profile(flat))
     return with_latency(lines) if latency else lines
 
