@@ -33,6 +33,9 @@ FILTERS = 16
 EMBED = 8
 BATCH = 1024
 DOCS_PER_LANG = 600
+#: Ids of a language that are ranked for the sample, as a multiple of DOCS_PER_LANG, and the resolution of the hash that thins them.
+THIN = 4
+UNIT = 1 << 40
 #: Languages learned at most, the most frequent first (a bound of the training sample).
 MAX_LANGS = 200
 WINDOWS_PER_DOC = 6
@@ -162,9 +165,12 @@ def held_out() -> Column:
 def training_windows(docs: DataFrame) -> pd.DataFrame:
     """Columns lang, windows (bytes) of the bounded training sample."""
     rows = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("doc_id").alias("ids")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
+    # a language's ids are first thinned by hash to a few times the bound, so that none sends more than that to the ranking
+    shares = docs.sparkSession.createDataFrame([(r.lang, -(-THIN * DOCS_PER_LANG * UNIT // r.ids)) for r in found], "lang string, below long")
     nth = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (rows.where(F.col("lang").isin(langs)).select("doc_id", "lang").distinct()
+    chosen = (rows.join(F.broadcast(shares), "lang")  # at most MAX_LANGS rows
+              .where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(UNIT)) < F.col("below")).select("doc_id", "lang").distinct()
               .withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= DOCS_PER_LANG).select("doc_id", "lang"))
 
     def cut(batches):
