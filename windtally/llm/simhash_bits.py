@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, ascii_lower, stored, text_of, words_of
+from .common import BLANKS, ascii_lower, row_identity, stored, text_of, words_of
 from .graph import components
 
 SHINGLE = 3
@@ -199,13 +199,18 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Rows of ``docs``, all columns, that stand for their component: the one
-    with its smallest doc_id.  Of rows that repeat this doc_id one stays.  A
-    row without doc_id can't be told from others by name and stays."""
-    found = stored(near_duplicates(docs).select("doc_id", "component_id"), "simhash-kept")
-    leaders = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    kept = docs.join(leaders, "doc_id", "left_semi").select(*docs.columns)
-    if leaders.where("n > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
+    with its smallest doc_id.  A document is told by (doc_id, text), so an id
+    that comes with several texts loses none of them to the others' groups; of
+    rows that repeat both one stays.  A row without doc_id can't be told from
+    others by name and stays."""
+    name = F.when(F.col("doc_id").isNotNull(), F.struct(*row_identity()))
+    found = stored(near_duplicates(docs.select(name.alias("doc_id"), "text")).select("doc_id", "component_id"), "simhash-kept")
+    leaders = (found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+               .select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.text_key").alias("_key"), "_n"))
+    text_key = F.xxhash64(text_of())
+    kept = docs.join(leaders, (docs["doc_id"] == leaders["_id"]) & (text_key == leaders["_key"]), "left_semi")
+    if leaders.where("_n > 1").limit(1).count():
+        kept = kept.withColumn("_simhash_text", text_key).dropDuplicates(["doc_id", "_simhash_text"]).drop("_simhash_text")
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
