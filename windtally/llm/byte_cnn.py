@@ -18,8 +18,6 @@ each; an empty table gives no rows.  Only text is an input of a prediction.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -43,7 +41,11 @@ EPOCHS = 5
 UNKNOWN = "und"
 #: Predictions of a lower score are rejected by ``keep_known``.
 MIN_SCORE = 0.35
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Letters in Unicode's sense; numerals such as fractions are none."""
+    return any(map(str.isalpha, text))
 
 
 def windows_of(data: bytes) -> np.ndarray:
@@ -136,7 +138,7 @@ class Net:
             owner.clear()
 
         for i, t in enumerate(texts):
-            if t is None or not self.langs or not _LETTER.search(t):
+            if t is None or not self.langs or not has_letter(t):
                 continue
             w = windows_of(t.encode("utf-8", "replace"))
             held.append(w)
@@ -178,7 +180,7 @@ def training_windows(docs: DataFrame) -> pd.DataFrame:
             out = []
             for t in b["text"]:
                 w = windows_of(t.encode("utf-8", "replace"))
-                out.append(w[np.unique(np.linspace(0, len(w) - 1, WINDOWS_PER_DOC).astype(int))].tobytes() if _LETTER.search(t) else b"")
+                out.append(w[np.unique(np.linspace(0, len(w) - 1, WINDOWS_PER_DOC).astype(int))].tobytes() if has_letter(t) else b"")
             yield pd.DataFrame({"doc_id": b["doc_id"], "lang": b["lang"], "windows": out})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
