@@ -121,11 +121,12 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
 
 def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """Pages whose url ends in a document's number take that document's label:
-    good if of quality and not toxic."""
+    good if of quality and not toxic (of several labels the worst counts)."""
     number = F.regexp_extract(path_of(F.col("url").cast("string")), r"/(\d{1,18})(?:\.html)?/?$", 1)
     numbered = pages.select("page_id", number.alias("number")).where("number <> ''")
     known = labels.where("doc_id is not null and quality is not null and toxic is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
+    known = known.groupBy("doc_id").agg(F.min("good").alias("good"))  # one label an id, so that the join cannot multiply
     return numbered.withColumn("doc_id", F.col("number").cast("long")).join(known, "doc_id").select("page_id", "good")
 
 
