@@ -85,6 +85,12 @@ def test_simhash(spark, docs, none):
     assert simhash_bits.near_duplicates(none).count() == 0
 
 
+def test_simhash_keeps_texts_that_share_an_id(spark):
+    table = [(3, ENGLISH), (5, BASE), (5, BASE), (5, ENGLISH), (5, "word"), (7, BASE)]
+    kept = simhash_bits.keep_one(spark.createDataFrame(table, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == sorted([(3, ENGLISH), (5, BASE), (5, "word")])
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 3])
 def test_close_pairs(radius):
     r = np.random.default_rng(radius)
@@ -237,6 +243,8 @@ def test_language(spark, docs, none):
     got = byte_cnn.identify(docs, net).collect()
     assert len(got) == len(rows()) and {r.lang_pred for r in got} <= {"de", "en", "und"}
     assert all(r.lang_pred == "und" and r.score == 0 for r in got if r.doc_id in (4, 5, 6, 21))
+    odd = byte_cnn.identify(spark.createDataFrame([(1, "½ ² 12 ٣"), (2, "½ a")], "doc_id long, text string"), net).collect()
+    assert [r.lang_pred == "und" for r in sorted(odd)] == [True, False]
     assert byte_cnn.keep_known(docs, net).columns == docs.columns
     assert byte_cnn.identify(none).count() == 0
 
@@ -298,6 +306,9 @@ def test_urls(spark):
         fits = [(len(h + p), h + p, v) for h, p, v in url_tree.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
         assert (r.host, r.path, r.rule) == (host, path, max(fits)[1] if fits else None)
         assert r.verdict == (max(fits)[2] if fits else "block" if host in ("", "bad.org") else "allow")
+    twice = labels.limit(0).selectExpr("page_id AS doc_id", "1 AS quality", "0 AS toxic").union(
+        spark.createDataFrame([(2, 1, 0), (2, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int"))
+    assert [tuple(r) for r in url_tree.labelled_pages(pages.where("page_id = 8"), twice).collect()] == [(8, False)]
     slugs = {r.template for r in got if r.host == "shop.org" and "slug" in r.path}
     assert len(slugs) == 1 and slugs.pop().split("/")[2] == "*"  # 60 different slugs are one variable
     assert url_tree.judge_urls(pages.limit(0), labels).count() == 0
