@@ -172,6 +172,26 @@ def test_order_matters(spark):
     assert len(s[0] & s[1]) < len(s[0]) and len(s[0] & s[2]) < len(s[0] & s[1])
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/", "".join(chr(0x4E00 + i) for i in range(800))])
+def test_order_minhash_of_unspaced_text_survives_an_insertion(spark, letters):
+    r = np.random.default_rng(5)
+    table = []
+    for n in (400, 2000, 20000):
+        t = "".join(r.choice(list(letters), n))
+        table += [(n, t, e) for e in ("!" + t, t[:n // 2] + "!" + t[n // 2:], t[:n // 3] + " " + t[n // 3:], t[1:])]
+    df = spark.createDataFrame(table, "n int, a string, b string")
+    df = order_minhash.signature(F.col("b"), order_minhash.signature(F.col("a"), df, "sa"), "sb")
+    for n, near in df.select("n", order_minhash.likeness(F.col("sa"), F.col("sb"))).collect():
+        assert near > (0.7 if n == 400 else 0.9)
+
+
+def test_order_minhash_tokens(spark):
+    text = "a  bc\t" + "x" * 16 + " 0123456789abcdefg \U0001F600é\n" + "日" * 17
+    got = spark.createDataFrame([(text,)], "t string").select(F.regexp_extract_all("t", F.lit(order_minhash.TOKEN), F.lit(1))).first()[0]
+    run = "0123456789abcdefg"
+    assert got == ["a", "bc", "x" * 16] + [run[i:i + 8] for i in range(10)] + ["\U0001F600é"] + ["日" * 8] * 10
+
+
 def test_reshard(spark, docs, none, scratch):
     got = flow_reshard.reshard(docs, F.col("shard"), scratch() + "/s", n_new=3).collect()
     assert order((r.doc_id, r.text) for r in got) == order((r[0], r[1]) for r in rows())

@@ -1,8 +1,10 @@
 """Order MinHash fingerprints (native functions only).
 
-Tokens are runs of non-blank characters, cut every 16 characters so that text
-without blanks has tokens too; a k-mer is ``K`` consecutive tokens (a shorter
-text is one k-mer).  The o-th occurrence of a k-mer is an element of its own,
+A run of at most ``RUN`` non-blank characters is a token.  A longer run (text
+without blanks, a URL, base64) has a token at every character, the ``GRAM``
+characters that start there, so that an inserted character changes only the
+tokens around it.  A k-mer is ``K`` consecutive tokens (a shorter text is one
+k-mer).  The o-th occurrence of a k-mer is an element of its own,
 with its own hash.  The hash space is cut into ``BINS`` bins; in each bin the
 ``PICK`` elements of least hash are selected, put back in text order, and the
 tuple of their k-mers is hashed.  Two texts agree in a bin if they select the
@@ -27,6 +29,10 @@ from pyspark.sql import functions as F
 from .common import stored, table, text_of
 
 K = 3
+#: The longest run that is one token, and the width of the tokens of longer runs.
+RUN, GRAM = 16, 8
+#: Group 1 is the token.  In a longer run a match goes on by one character.
+TOKEN = rf"(?=((?<!\S)\S{{1,{RUN}}}+(?!\S)|\S{{{GRAM}}}))(?:(?<!\S)\S{{1,{RUN}}}+(?!\S)|\S)"
 BINS_LOG2 = 6
 PICK = 2
 POS = 28
@@ -68,7 +74,7 @@ def signature(text: Column, df: DataFrame, name: str) -> DataFrame:
     ]
     assert PICK == 2, "the tuple step is written for pairs"
     keep = df.columns
-    df = df.withColumn(steps[0][0], F.regexp_extract_all(text, F.lit(r"\S{1,16}"), F.lit(0)))
+    df = df.withColumn(steps[0][0], F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1)))
     for col, sql in steps[1:]:
         df = df.withColumn(col, F.expr(sql))
     return df.select(*keep, name)
