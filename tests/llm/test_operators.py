@@ -307,6 +307,25 @@ def test_mixing_meets_targets(spark):
     assert np.abs((p * (rate * tokens)[:, None]).sum(axis=0) / tokens.sum() - (0.2, 0.5, 0.3)).max() < 1e-3
 
 
+@pytest.mark.parametrize("shares", [(30, 5, 5), (.9, .099, .001), (9, .99, .01), (7.5, 1.3, 1.2)])
+def test_mixing_meets_targets_of_rare_and_soft_domains(spark, shares):
+    r = np.random.default_rng(3)
+    p = r.dirichlet(shares, 20000)
+    tokens = r.integers(1, 900, len(p))
+    table = spark.createDataFrame([(int(t), x.tolist()) for t, x in zip(tokens, p)], "tokens long, p array<double>")
+    rate = mixing.rates(p, *mixing.solve(table))
+    assert (rate >= 0).all()
+    assert np.abs((p * (rate * tokens)[:, None]).sum(axis=0) / tokens.sum() - mixing.TARGETS).max() < mixing.TOLERANCE * 1.01
+
+
+def test_mixing_reports_targets_out_of_reach(spark, caplog):
+    p = np.array([[0.7, 0.3, 0.0], [0.2, 0.8, 0.0]])
+    table = spark.createDataFrame([(5, x.tolist()) for x in p], "tokens long, p array<double>")
+    rate = mixing.rates(p, *mixing.solve(table))
+    assert np.allclose(rate, [0.316 / 0.145, 0], atol=1e-5) and "out of reach" in caplog.text  # least squares with the second rate at 0
+    assert mixing.rates(p, *mixing.solve(table.limit(0))).tolist() == [1, 1]
+
+
 def test_urls(spark):
     urls = ["http://WWW.Example.com/en/1?x", "https://a.net/es/x", "http://a.net/fr", "no url", None, "", "http://example.com#f", "x://h/a?b://c/d",
             "http://example.com/en/2", "http://shop.org/" + "/".join("abcdefghijkl"), "ftp://q.org/\nz/1", "http://com/"]

@@ -5,11 +5,22 @@ posteriors.  Nonnegative document rates r then minimise
 
     1/2 * sum_k (sum_i w_i p_ik r_i - target_k)**2,   w_i = tokens_i / all tokens
 
-by accelerated projected gradient, from r = 1: all rates see the same K domain
-residuals, so an iteration is one scan of the stored posteriors that returns K
-sums, and the driver keeps only the residuals so far.  A document's rate is a
-function of its posteriors and that history, so no per-document state is
-written between iterations.
+by projected gradient steps from r = 1.  All rates see the same K domain
+residuals g, whitened by the K x K second moment M of the rows whose rate is
+not zero, so that rare domains and soft posteriors do not slow the descent:
+
+    r = max(0, 1 - p . u),   u = sum over rounds of step * M^-1 (g - RIDGE * u)
+
+These are Newton steps on the dual, so among all rates that meet the targets
+the ones closest to 1 are found.  A round is one scan of the stored posteriors
+at several step lengths; it returns K + K*K + 1 sums for each, and the best
+length is taken.  A document's rate is a function of its posteriors and u, so
+no per-document state is written between rounds.
+
+Rounds end when every domain's share is within ``TOLERANCE`` of its target, or
+when no step comes nearer: then the targets cannot be met (a domain without
+documents, say), the rates are the nearest ones, and a warning is logged.  The
+residuals are logged in any case.
 
 Domains: toxic (toxic = 1), else good (quality = 1), else poor.
 
@@ -22,6 +33,8 @@ table gives no rows.  Only doc_id and text are read.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,8 +49,14 @@ DOMAINS = ("good", "poor", "toxic")
 TARGETS = (0.86, 0.10, 0.04)
 #: Labelled documents the classifier is fitted on.
 SAMPLE = 4000
-#: Iterations at most, and the residual at which they end.
-ROUNDS, TOLERANCE = 60, 1e-4
+#: The residual at which rounds end, and the gradient at which targets are out of reach.
+TOLERANCE, STILL = 1e-4, 1e-6
+#: Weight of the distance from rate 1, beside the residuals.
+RIDGE = 1e-8
+#: Step lengths tried in a round.
+LENGTHS = 0.25 ** np.arange(16)
+
+log = logging.getLogger(__name__)
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -66,56 +85,67 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     return weights
 
 
-def rates(p: np.ndarray, history: np.ndarray, step: float) -> np.ndarray:
-    """Rates after the iterations whose residuals are ``history`` (rounds, K)."""
-    r = last = np.ones(len(p))
-    for k, g in enumerate(history):
-        ahead = r + (k / (k + 3)) * (r - last)
-        last, r = r, np.maximum(0.0, ahead - step * (p @ g))
-    return r
-
-
-def lookahead(p: np.ndarray, history: np.ndarray, step: float) -> np.ndarray:
-    """The point at which the next residual is taken."""
-    r = rates(p, history, step)
-    if not len(history):
-        return r
-    k = len(history)
-    return r + (k / (k + 3)) * (r - rates(p, history[:-1], step))
-
-
-def solve(posteriors: DataFrame, targets=TARGETS) -> tuple[np.ndarray, float]:
-    """``posteriors(tokens, p)`` -> residual history and step."""
-    k = len(targets)
-
-    def sums(fold):
-        def add(batches):
-            m, second, total = np.zeros(k), np.zeros((k, k)), 0.0
-            for b in batches:
-                if len(b):
-                    p, w = np.stack(b["p"]), b["tokens"].to_numpy(float)
-                    r, final = fold(p)
-                    m += p.T @ (w * r)
-                    second += (p * w[:, None]).T @ p if final is None else np.diag(p.T @ (w * final))
-                    total += w.sum()
-            yield pd.DataFrame({"v": [[*m, *second.ravel(), total]]})
-        got = posteriors.mapInPandas(add, "v array<double>").select(*(F.sum(F.col("v")[i]).alias(f"c{i}") for i in range(k + k * k + 1))).first()
-        got = np.array([x or 0.0 for x in got])
-        return got[:k], got[k:-1].reshape(k, k), got[-1]
+def rates(p: np.ndarray, history: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Rates after the rounds whose directions are ``history`` (rounds, K), ``step`` (rounds) their lengths."""
+    return np.maximum(0.0, 1.0 - p @ (step @ history))
+
+
+def scan(posteriors: DataFrame, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """At each of ``points`` (S, K): half the mean squared rate (S), the domains'
+    tokens (S, K) and the second moment of rows with a rate (S, K, K), each as a
+    share of all tokens; and all tokens."""
+    s, k = points.shape
 
+    def add(batches):
+        squares, m, second, total = np.zeros(s), np.zeros((s, k)), np.zeros((s, k * k)), 0.0
+        for b in batches:
+            if len(b):
+                p, w = np.stack(b["p"]), b["tokens"].to_numpy(float)
+                r = np.maximum(0.0, 1.0 - p @ points.T)
+                squares += w @ r ** 2 / 2
+                m += (r * w[:, None]).T @ p
+                second += ((r > 0) * w[:, None]).T @ (p[:, :, None] * p[:, None, :]).reshape(len(p), k * k)
+                total += w.sum()
+        yield pd.DataFrame({"v": [[*squares, *m.ravel(), *second.ravel(), total]]})
+
+    got = np.zeros(s * (1 + k + k * k) + 1)
+    sums = posteriors.mapInPandas(add, "v array<double>").select(F.posexplode("v")).groupBy("pos").agg(F.sum("col"))
+    for at, x in sums.collect():  # a few hundred rows
+        got[at] = x
+    total, got = got[-1], got[:-1] / max(got[-1], 1.0)
+    return got[:s], got[s:s + s * k].reshape(s, k), got[s + s * k:].reshape(s, k, k), total
+
+
+def solve(posteriors: DataFrame, targets=TARGETS) -> tuple[np.ndarray, np.ndarray]:
+    """``posteriors(tokens, p)`` -> directions and step lengths of the rounds, for ``rates``."""
     target = np.asarray(targets, float)
-    m, second, total = sums(lambda p: (np.ones(len(p)), None))
+    k = len(target)
+    history, step, u = np.zeros((0, k)), np.zeros(0), np.zeros(k)
+
+    def look(points):
+        squares, m, second, total = scan(posteriors, points)
+        values = squares + points @ target + RIDGE / 2 * (points ** 2).sum(axis=1)
+        best = values.argmin()
+        return best, values[best], m[best], second[best], total
+
+    _, value, m, second, total = look(u[None, :])
     if total == 0:
-        return np.zeros((0, k)), 0.0
-    step = 1 / max(np.linalg.eigvalsh(second / total)[-1], 1e-9)
-    history = np.zeros((0, k))
-    g = m / total - target
-    for _ in range(ROUNDS):
-        history = np.vstack([history, g])
-        m, final, _ = sums(lambda p, h=history: (lookahead(p, h, step), rates(p, h, step)))
-        g = m / total - target
-        if np.abs(np.diag(final) / total - target).max() < TOLERANCE:
+        return history, step
+    while True:
+        g = m - target
+        gradient = g - RIDGE * u
+        if np.abs(g).max() < TOLERANCE or np.abs(gradient).max() < STILL:
+            break
+        direction = np.linalg.solve(second + RIDGE * np.eye(k), gradient)
+        best, lower, m_next, second_next, _ = look(u + LENGTHS[:, None] * direction)
+        if not lower < value:
             break
+        value, m, second = lower, m_next, second_next
+        history, step = np.vstack([history, direction]), np.append(step, LENGTHS[best])
+        u = step @ history
+    met = np.abs(g).max() < TOLERANCE
+    log.log(logging.INFO if met else logging.WARNING, "token shares %s for targets %s%s after %d rounds, residuals %s",
+            m.round(6).tolist(), target.tolist(), "" if met else ", which are out of reach,", len(step), g.tolist())
     return history, step
 
 
@@ -134,7 +164,7 @@ def copies(rate, doc_id, tokens):
     return F.floor(rate + unit).cast("int")
 
 
-def _rate_udf(history: np.ndarray, step: float):
+def _rate_udf(history: np.ndarray, step: np.ndarray):
     @F.pandas_udf("double")
     def rate(p: pd.Series) -> pd.Series:
         return pd.Series(rates(np.stack(p), history, step)) if len(p) else pd.Series([], dtype=float)
