@@ -353,6 +353,20 @@ def test_urls(spark):
     assert url_tree.judge_urls(pages.limit(0), labels).count() == 0
 
 
+def test_urls_differ_at_any_depth(spark):
+    deep = "/".join("abcdefghijkl")
+    urls = [f"http://deep.org/{deep}/{'good' if i % 2 else 'bad'}/{i}" for i in range(400)]
+    urls += ["http://trap.org" + "/x" * n for n in range(1, 301)]  # one chain: no level for each segment
+    urls += [f"http://pair.org/{deep}/end/{deep}", f"http://pair.org/{deep}/end/{deep}/z", f"http://pair.org/{deep}/other/**"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2 == 1) for i in range(400)], "page_id long, good boolean")
+    got = {r.page_id: r for r in url_tree.judge_urls(pages, labels).collect()}
+    assert len(got) == len(urls)
+    for i in range(400):
+        assert (got[i].verdict, got[i].template) == (("allow", f"/{deep}/good/<n>") if i % 2 else ("block", f"/{deep}/bad/<n>"))
+    assert all(got[i].template == got[i].path for i in range(400, len(urls)))
+
+
 def test_pipeline_keeps_columns_and_work(spark, docs, scratch):
     import corpus_pipeline
     d = scratch()

@@ -12,16 +12,20 @@ share with ``PRIOR`` pseudo-pages, is below ``PURITY``.  Explicit rules
 (host, path) come first, the longest one wins.
 
 Pages are read twice: once to count distinct (host, form path) pairs, all
-levels work on those counts, and once to attach the verdicts.
+levels work on those counts, and once to attach the verdicts.  Paths of any
+depth are followed to their end; a level works on the forms that go deeper
+than it, and forms of a node that branches no more are finished at once, so
+that a deep path does not take as many levels as it has segments.
 
 Defined results: a null url or one without ``://`` has empty host and path and
 is blocked unless a rule says otherwise; labels with nulls count as unlabelled;
-repeated rows are judged each; an empty table gives no rows; segments below
-``DEPTH`` are one template segment ``**``.
+repeated rows are judged each; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +40,13 @@ RULES = [
     ("net", "/fr/", "block"),
 ]
 MAX_RULES = 1000
-DEPTH = 8
 #: A literal child of fewer pages is rare; a node with at least so many rare children is a variable.
 RARE, MANY = 5, 8
 Z = 2.58
 PRIOR = 10.0
 PURITY = 0.5
+#: Finished levels that are read side by side; more are stored as one.
+MAX_PARTS = 16
 
 
 def host_of(url: Column) -> Column:
@@ -66,34 +71,47 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> Column:
 def form_path(path: Column) -> Column:
     """Segments of a path, with numbers and hex strings as wildcards."""
     segments = F.array_remove(F.split(path, "/"), "")
-    segments = F.when(F.size(segments) > DEPTH, F.concat(F.slice(segments, 1, DEPTH), F.array(F.lit("**")))).otherwise(segments)
     return F.transform(segments, lambda s: F.when(s.rlike(r"^(?=.*[0-9])[0-9a-fA-F-]{16,}$"), F.lit("<hex>"))
                        .otherwise(F.regexp_replace(s, r"[0-9]+", "<n>")))
 
 
 def template_tree(counts: DataFrame) -> DataFrame:
     """``counts(host, form, n, good, bad)`` -> ``(host, form, template)``."""
-    depth = counts.agg(F.max(F.size("form"))).first()[0] or 0  # at most DEPTH + 1
-    at = counts.withColumn("template", F.lit(""))
-    for d in range(depth):
-        at = stored(at.withColumn("child", F.when(F.size("form") > d, F.get("form", F.lit(d)))), "url-level")
-        deep = at.where("child is not null")
-        child = deep.groupBy("host", "template", "child").agg(*(F.sum(c).alias(c) for c in ("n", "good", "bad")))
-        rare = (F.col("n") < RARE) & ~F.col("child").contains("<") & (F.col("child") != "**")
+    at = counts.withColumn("template", F.lit("")).withColumn("straight", F.lit(False))
+    kept = ["host", "form", "n", "good", "bad", "template"]
+    done, d = [], 0
+    while True:
+        done.append(at.where(F.size("form") <= d).select(*kept))
+        if len(done) > MAX_PARTS:
+            done = [stored(reduce(DataFrame.unionByName, done), "url-done")]
+        deep = at.where(F.size("form") > d).withColumn("child", F.get("form", F.lit(d)))
+        if not deep.limit(1).count():
+            return reduce(DataFrame.unionByName, done)
+        child = deep.groupBy("host", "template", "child").agg(
+            *(F.sum(c).alias(c) for c in ("n", "good", "bad")), F.max("form").alias("greatest"), F.min("straight").alias("straight"))
+        rare = (F.col("n") < RARE) & ~F.col("child").contains("<")
         node = child.groupBy("host", "template").agg(
-            F.sum(rare.cast("int")).alias("rare"), F.count(F.lit(1)).alias("kids"), F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
-        judged = child.join(node, ["host", "template"])
+            F.sum(rare.cast("int")).alias("rare"), F.count(F.lit(1)).alias("kids"), F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"),
+            F.min("straight").alias("single"))
+        judged = child.drop("straight").join(node, ["host", "template"])
         seen = F.col("good") + F.col("bad")
         share = (F.col("all_good") + 1) / (F.col("all_good") + F.col("all_bad") + 2)
         z = F.abs(F.col("good") - seen * share) / F.sqrt(seen * share * (1 - share) + 1e-9)
         variable = rare & (F.col("rare") >= MANY)
         similar = (F.col("kids") > 1) & (seen > 0) & (z < Z)
-        named = judged.select("host", "template", "child", F.when(variable | similar, F.lit("*")).otherwise(F.col("child")).alias("step"))
-        at = (at.join(named.withColumnsRenamed({"host": "_h", "template": "_t", "child": "_c"}),
-                      (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (F.col("child") == F.col("_c")), "left")
-              .select("host", "form", "n", "good", "bad",
-                      F.when(F.col("step").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "step")).alias("template")))
-    return at
+        named = judged.select(
+            F.col("host").alias("_h"), F.col("template").alias("_t"), F.col("child").alias("_c"), "greatest", "single",
+            F.when(variable | similar, F.lit("*")).otherwise(F.col("child")).alias("step"))
+        step = F.concat("template", F.lit("/"), "step")
+        rest = F.concat_ws("/", "template", F.expr(f"slice(form, {d + 1}, size(form))"))
+        # a node whose forms are all beginnings of one of them has no branches: its forms are templates to their end
+        begins = (F.col("step") == F.col("child")) & (F.col("form") == F.expr("slice(greatest, 1, size(form))"))
+        at = stored(deep.join(named, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (F.col("child") == F.col("_c")))
+                    .select("host", "form", "n", "good", "bad", "single",
+                            F.when(F.col("single"), rest).otherwise(step).alias("template"), begins.alias("straight")), "url-level")
+        done.append(at.where("single").select(*kept))
+        at = at.where("not single").drop("single")
+        d += 1
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
