@@ -275,6 +275,20 @@ def test_quality(spark, docs, none):
     assert weak_quality.quality(none).count() == 0
 
 
+def test_variety_does_not_depend_on_length():
+    r = np.random.default_rng(4)
+    vary = lambda n, vocabulary: " ".join(f"w{x}" for x in r.integers(0, vocabulary, n))
+    part = vary(300, 10 ** 6)
+    texts = [" ".join([part] * 67)[:k] for k in (13500, 10 ** 7)] + [vary(n, 200) for n in (1500, 20000)]  # bad
+    texts += [vary(n, 10 ** 4) for n in (1500, 20000, 400000)] + [vary(20000, 1500) + " " + part]  # good
+    p = weak_quality.profile([*texts, "", None], run=weak_quality.RUN)
+    assert weak_quality.votes(p)[:-2, -1].tolist() == [-1] * 4 + [1] * 4
+    for t, got in zip(texts[:6], p.distinct):
+        w = t.split()
+        assert got == sum(len(set(w[i:i + weak_quality.RUN])) for i in range(0, len(w), weak_quality.RUN))
+    assert p.distinct[-2:].tolist() == [0, 0]
+
+
 def test_em_recovers_accuracies():
     r = np.random.default_rng(1)
     y = r.random(20000) < 0.7

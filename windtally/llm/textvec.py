@@ -28,9 +28,11 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Profile:
-    """Adds up, per text of a batch: STATS and which word buckets occur."""
+    """Adds up, per text of a batch: STATS, which word buckets occur and, if
+    ``run`` is given, the distinct words of every ``run`` consecutive ones."""
 
-    def __init__(self, n: int, buckets: int = BUCKETS):
+    def __init__(self, n: int, buckets: int = BUCKETS, run: int = 0):
+        self.run, self.distinct = run, np.zeros(n)
         self.stats = np.zeros((n, len(STATS)))
         self.seen = np.zeros((n, buckets), bool)
         self.shift = np.uint64(64 - (buckets - 1).bit_length())
@@ -59,12 +61,19 @@ class Profile:
         columns = [np.bincount(piece, minlength=n), ends - begins - 1, count(kind == 1), count(kind == 2), count(kind == 3),
                    count(raw == 10) - 1, np.bincount(piece, again, minlength=n), count((raw >= 65) & (raw <= 90))]
         np.add.at(self.stats, own, np.stack(columns, axis=1).astype(float))
+        if self.run and len(h):
+            opens = (np.arange(len(h)) - np.searchsorted(start, begins)[piece]) % self.run == 0
+            # runs by number (fewer than 2**22 in a call) above 42 bits of hash: sorted, equal words of a run stand together
+            key = np.sort(np.cumsum(opens).astype(np.uint64) << np.uint64(42) | h >> np.uint64(22))
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            home = piece[opens][(key[new] >> np.uint64(42)).astype(np.int64) - 1]
+            np.add.at(self.distinct, own, np.bincount(home, minlength=n).astype(float))
 
 
-def profile(texts: list[str | None], buckets: int = BUCKETS) -> Profile:
+def profile(texts: list[str | None], buckets: int = BUCKETS, run: int = 0) -> Profile:
     """Stats and buckets of whole texts; null counts as empty.  A text longer
-    than PIECE is cut there (a word across a cut counts as two)."""
-    out = Profile(len(texts), buckets)
+    than PIECE is cut there (a word across a cut counts as two, and runs begin anew)."""
+    out = Profile(len(texts), buckets, run)
     pieces, owner, size = [], [], 0
     for i, t in enumerate(texts):
         data = (t or "").encode("utf-8", "replace")

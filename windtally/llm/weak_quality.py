@@ -24,6 +24,8 @@ from .common import table
 from .textvec import BUCKETS, Profile, design, fit_softmax, profile, scores, softmax
 
 LABELLERS = ("length", "word_size", "repeats", "marks", "digits", "capitals", "letters", "variety")
+#: Words in which the variety labeller counts distinct ones, one run after the other; a longer text is judged by the mean of its runs.
+RUN = 2000
 #: Documents the scorer is fitted on.
 SAMPLE = 4000
 #: Documents of a lower score are not kept.
@@ -31,10 +33,10 @@ THRESHOLD = 0.3
 
 
 def votes(p: Profile) -> np.ndarray:
-    """(documents, labellers): 1 good, -1 bad, 0 abstain."""
+    """(documents, labellers): 1 good, -1 bad, 0 abstain.  ``p`` is profiled with ``RUN``."""
     words, size, letters, digits, marks, _, again, upper = p.stats.T
     w, b = np.maximum(words, 1), np.maximum(size, 1)
-    distinct = p.seen.sum(axis=1) / np.minimum(w, BUCKETS)
+    distinct = p.distinct / w
     mean = size / w
 
     def vote(good, bad):
@@ -48,7 +50,7 @@ def votes(p: Profile) -> np.ndarray:
         vote(digits / b < 0.03, digits / b > 0.15),
         vote((upper / b > 0.004) & (upper / b < 0.08), upper / b > 0.3),
         vote(letters / b > 0.72, letters / b < 0.55),
-        vote(distinct > 0.45, (distinct < 0.25) & (words < 2000)),
+        vote(distinct > 0.45, distinct < 0.25),
     ], axis=1)
 
 
@@ -89,14 +91,14 @@ def _clean(s: pd.Series) -> list:
 
 @F.pandas_udf(T.IntegerType())
 def _pattern(texts: pd.Series) -> pd.Series:
-    return pd.Series(pattern(votes(profile(_clean(texts)))))
+    return pd.Series(pattern(votes(profile(_clean(texts), run=RUN))))
 
 
 # types, not DDL text: this module is imported before there is a session
 @F.pandas_udf(T.StructType([T.StructField("pattern", T.IntegerType()), T.StructField("stats", T.ArrayType(T.DoubleType())),
                             T.StructField("seen", T.BinaryType())]))
 def _features(texts: pd.Series) -> pd.DataFrame:
-    p = profile(_clean(texts))
+    p = profile(_clean(texts), run=RUN)
     return pd.DataFrame({"pattern": pattern(votes(p)), "stats": list(p.stats), "seen": [r.tobytes() for r in np.packbits(p.seen, axis=1)]})
 
 
@@ -127,7 +129,7 @@ def quality(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("votes string, posterior double, score double")
     def judge(texts: pd.Series) -> pd.DataFrame:
-        p = profile(_clean(texts))
+        p = profile(_clean(texts), run=RUN)
         v = votes(p)
         return pd.DataFrame({"votes": ["".join("-0+"[x + 1] for x in r) for r in v], "posterior": posterior[pattern(v)],
                              "score": softmax(scores(p, weights).astype(float))[:, 1]})
