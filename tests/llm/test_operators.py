@@ -185,6 +185,21 @@ def test_order_minhash_of_unspaced_text_survives_an_insertion(spark, letters):
         assert near > (0.7 if n == 400 else 0.9)
 
 
+def test_order_matters_in_short_texts(spark):
+    r = np.random.default_rng(6)
+    table = []
+    for n in (1, 2, 4, 30, 60, 1000):
+        for k in range(40):
+            w = [f"w{x}" for x in r.permutation(10 ** 6)[:n]]
+            table.append((n, " ".join(w), " ".join(w[n // 2:] + w[:n // 2])))
+    df = spark.createDataFrame(table, "n int, a string, b string")
+    df = order_minhash.signature(F.col("b"), order_minhash.signature(F.col("a"), df, "sa"), "sb")
+    sizes = df.select(F.array_distinct(F.transform("sa", lambda x: F.shiftright(x, 16))).alias("bins"), "sa").collect()
+    assert all(r.bins == list(range(64)) and len(r.sa) == 64 for r in sizes)
+    near = dict(df.groupBy("n").agg(F.avg(order_minhash.likeness(F.col("sa"), F.col("sb")))).collect())
+    assert near[1] == 1 and near[2] < 0.1 and all(near[n] < 0.6 for n in (4, 30, 60, 1000)) and near[1000] > 0.4
+
+
 def test_order_minhash_tokens(spark):
     text = "a  bc\t" + "x" * 16 + " 0123456789abcdefg \U0001F600é\n" + "日" * 17
     got = spark.createDataFrame([(text,)], "t string").select(F.regexp_extract_all("t", F.lit(order_minhash.TOKEN), F.lit(1))).first()[0]

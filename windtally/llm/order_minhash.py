@@ -5,9 +5,10 @@ without blanks, a URL, base64) has a token at every character, the ``GRAM``
 characters that start there, so that an inserted character changes only the
 tokens around it.  A k-mer is ``K`` consecutive tokens (a shorter text is one
 k-mer).  The o-th occurrence of a k-mer is an element of its own,
-with its own hash.  The hash space is cut into ``BINS`` bins; in each bin the
-``PICK`` elements of least hash are selected, put back in text order, and the
-tuple of their k-mers is hashed.  Two texts agree in a bin if they select the
+with its own hash.  The hash space is a circle cut into bins; for each bin the
+first ``PICK`` elements from its beginning on, if need be in the bins after it,
+are selected, put back in text order, and the tuple of their k-mers is hashed.
+So short texts, too, fill all bins with pairs, which have an order.  Two texts agree in a bin if they select the
 same k-mers in the same order, which edits and moves both disturb.
 
 Occurrence numbers and minima come from sorting one array of longs per text
@@ -64,13 +65,17 @@ def signature(text: Column, df: DataFrame, name: str) -> DataFrame:
         (f"{t}a", f"if(size({t}r) = 0, {t}s, sort_array(concat({t}f, {t}r)))"),
         # the least PICK of each bin
         (f"{t}m", f"filter({t}a, (x, i) -> i < {PICK} or {bin_of('x')} <> {bin_of(f'{t}a[i - {PICK}]')})"),
-        # per bin: selected elements in text order, hashed as a tuple
-        (name, f"filter(transform({t}m, (x, i) -> case when i > 0 and {bin_of('x')} = {bin_of(f'{t}m[greatest(i - 1, 0)]')} then null "
-               f"when i + 1 < size({t}m) and {bin_of('x')} = {bin_of(f'{t}m[least(i + 1, size({t}m) - 1)]')} then "
-               f"cast(shiftleft({bin_of('x')}, 16) | (if({pos_of('x')} < {pos_of(f'{t}m[least(i + 1, size({t}m) - 1)]')}, "
-               f"xxhash64({kmer_of('x')}, {kmer_of(f'{t}m[least(i + 1, size({t}m) - 1)]')}), "
-               f"xxhash64({kmer_of(f'{t}m[least(i + 1, size({t}m) - 1)]')}, {kmer_of('x')})) & 65535) as int) "
-               f"else cast(shiftleft({bin_of('x')}, 16) | (xxhash64({kmer_of('x')}) & 65535) as int) end), e -> e is not null)"),
+        # an element that opens its bin, and the one after it in the circle, are the pair of that bin and of the empty ones before it
+        (f"{t}n", f"concat(slice({t}m, 2, size({t}m)), slice({t}m, 1, 1))"),
+        (f"{t}t", f"transform({t}m, (x, i) -> if({pos_of('x')} = {pos_of(f'{t}n[i]')}, xxhash64({kmer_of('x')}), "
+                  f"if({pos_of('x')} < {pos_of(f'{t}n[i]')}, xxhash64({kmer_of('x')}, {kmer_of(f'{t}n[i]')}), "
+                  f"xxhash64({kmer_of(f'{t}n[i]')}, {kmer_of('x')}))) & 65535)"),
+        (f"{t}o", f"filter(transform({t}m, (x, i) -> if(i = 0 or {bin_of('x')} <> {bin_of(f'{t}m[greatest(i - 1, 0)]')}, i, null)), i -> i is not null)"),
+        (name, f"if(size({t}m) = 0, cast(array() as array<int>), flatten(concat("
+               f"transform({t}o, (i, j) -> transform(sequence(if(j = 0, 0L, {bin_of(f'{t}m[{t}o[greatest(j - 1, 0)]]')} + 1), {bin_of(f'{t}m[i]')}), "
+               f"b -> cast(shiftleft(b, 16) | {t}t[i] as int))), "
+               f"array(transform(filter(sequence(0L, {(1 << BINS_LOG2) - 1}L), b -> b > {bin_of(f'{t}m[size({t}m) - 1]')}), "
+               f"b -> cast(shiftleft(b, 16) | {t}t[0] as int))))))"),
     ]
     assert PICK == 2, "the tuple step is written for pairs"
     keep = df.columns
@@ -81,7 +86,7 @@ def signature(text: Column, df: DataFrame, name: str) -> DataFrame:
 
 
 def rendered(sig: Column) -> Column:
-    """Hex text: six digits (bin, hash) for each non-empty bin."""
+    """Hex text: six digits (bin, hash) for each bin; none for a text without tokens."""
     return F.array_join(F.transform(sig, lambda x: F.lpad(F.lower(F.hex(x)), 6, "0")), "")
 
 
