@@ -161,7 +161,7 @@ def _coded(book: np.ndarray, dim: int):
             x = x.reshape(-1, parts, width)
             entry = np.stack([np.frombuffer(s, _STATE)["entry"] for s in b.column("state").to_pylist()])
             error = sum(own_distances(x[:, p], book[p], entry[:, p]) for p in range(parts))
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("label"), b.column("has_label"),
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("label"),
                                               pa.array([e.tobytes().hex() for e in np.ascontiguousarray(entry)]), pa.array(error)],
                                              names=["vec_id", "label", "code", "error"])
     return run
