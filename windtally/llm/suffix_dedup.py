@@ -49,12 +49,12 @@ GRAM = 16
 #: Most windows of a record.
 RUN = 64
 #: Text of a block and, on average, of a bucket.
-BLOCK_BYTES = 2 << 20
-BUCKET_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 20
+BUCKET_BYTES = 4 << 20
 #: An anchor with more places than this is dealt out window by window.
 HOT = 20_000
 #: Window starts handled at a time in a block, and windows sorted at a time in a bucket.
-CHUNK = 1 << 20
+CHUNK, SORTED = 1 << 17, 1 << 18
 
 _NO_ID = np.iinfo(np.int64).min
 _BLOCK = "block long, ids binary, known binary, sizes binary, data binary"
@@ -342,7 +342,7 @@ def _sort_records(length: int):
         for f, n in zip(first[several].tolist(), size[several].tolist()):
             todo.append(order[f:f + n])
             held += int(count[todo[-1]].sum())
-            if held >= CHUNK:
+            if held >= SORTED:
                 runs.append(_sorted_runs(todo, texts, count, low, high, length))
                 todo, held = [], 0
         if todo:
