@@ -472,3 +472,6 @@ def _csv_valid(spark, sf_dir):
 def _csv_rejects(spark, sf_dir):
     """P5 over S3: the quarantine's keys and reasons."""
     return rejects(_csv_files(spark, sf_dir)).select("reject_reason", "key")
+
+
+from windtally.plans import catalog_history  # noqa: E402,F401  (registers its queries here)

@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _UTC = "UTC"
 
@@ -117,3 +117,25 @@ def ensure_dir(spark: SparkSession, path: str) -> str:
     if not fs.exists(p):
         fs.mkdirs(p)
     return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` (any Hadoop-supported URI) is there — a driver-side metadata call."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a file or folder; an existing ``new`` is an error."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    a, b = path(old), path(new)
+    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(b) or not fs.rename(a, b):
+        raise RuntimeError(f"cannot rename {old} to {new}")
+
+
+def stored(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint root and read back: the lineage ends here."""
+    path = f"{scratch_path(df.sparkSession, kind)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
