@@ -52,7 +52,7 @@ RUN = 64
 BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20
 #: An anchor with more places than this is dealt out window by window.
-HOT = 20_000
+HOT = 1_000
 #: Window starts handled at a time in a block, and windows sorted at a time in a bucket.
 CHUNK, SORTED = 1 << 17, 1 << 18
 
