@@ -32,6 +32,13 @@ class WindowSpec:
         """
         return F.window(F.window_time(window_col), self.duration, self.duration, self.offset)
 
+    def end_ms(self, time_col: Column | str) -> Column:
+        """End (epoch ms) of the window of a time; null for null, where ``over`` drops the row."""
+        number, unit = self.offset.split()
+        offset = int(number) * {"seconds": 1, "days": 86400}[unit] * 1000
+        ms = F.unix_millis(time_col)
+        return ms - F.pmod(ms - offset, F.lit(self.seconds * 1000)) + self.seconds * 1000
+
 
 # --- fixed values: window sizes and start offsets ---------------------------
 # 7 days starts on Mondays: offset -3 days from the epoch (a Thursday), i.e. +4.

@@ -28,7 +28,7 @@ def watermark_before(arrivals: DataFrame, source: str, order: list[str], event_m
     ``source``: column with the source partition; there are as many as the
     topic has (one expression each).  ``order``: columns that order all
     arrivals, without ties.  ``ranges``: default the session's shuffle partitions.
-    Records without an event time move nothing.
+    Records without an event time move nothing and are never late.
     """
     spark = arrivals.sparkSession
     checkpoint_root(spark)
@@ -66,5 +66,4 @@ def late_verdicts(arrivals: DataFrame, spec: WindowSpec, source: str, order: lis
                   ranges: int | None = None) -> DataFrame:
     """``watermark_before`` plus ``is_late``: the record's ``spec`` window had closed before it arrived."""
     marked = watermark_before(arrivals, source, order, F.unix_millis(time_col), ranges)
-    end = F.unix_millis(spec.over(time_col)["end"])
-    return marked.withColumn("is_late", F.coalesce(F.col("watermark_ms") >= end - 1, F.lit(False)))
+    return marked.withColumn("is_late", F.coalesce(F.col("watermark_ms") >= spec.end_ms(time_col) - 1, F.lit(False)))

@@ -41,5 +41,7 @@ def threshold_top_n(fine: DataFrame, fine_spec: WindowSpec, spec: WindowSpec, n:
     ``fine`` is read four times; give a stored table.  It must hold one row for each (window, key)."""
     rows = fine.select(F.col("window.start").alias("window_start"), spec.over_window("window")["start"].alias("coarse"), key, "n")
     chosen = candidates(rows, spec.seconds // fine_spec.seconds, n, key)
-    exact = rows.join(chosen, ["coarse", key], "left_semi").groupBy("coarse", key).agg(F.sum("n").alias("n"))
+    chosen = chosen.withColumnsRenamed({"coarse": "_coarse", key: "_key"})  # a null key may be one of the top
+    same = (F.col("coarse") == F.col("_coarse")) & F.col(key).eqNullSafe(F.col("_key"))
+    exact = rows.join(chosen, same, "left_semi").groupBy("coarse", key).agg(F.sum("n").alias("n"))
     return top_n(exact.select(F.col("coarse").cast("timestamp_ntz").alias("window_start"), key, "n"), n, key)

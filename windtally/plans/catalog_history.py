@@ -55,6 +55,50 @@ for _w in ("24h", "7d", "30d"):
         lambda spark, sf_dir, w=_w: _shared(spark, sf_dir, "q2", w))
 
 
+# ------------------------------------------------ open windows (X1, X2), rescaling
+def _open_and_closed(spark, sf_dir, window):
+    """Closed rows of the log and open rows of the state: together, every comment."""
+    from windtally.streaming.state import closed_counts, open_counts
+
+    r = replay_shared(spark, sf_dir, "q1", window)
+    closed = closed_counts(spark, "q1", window, r["logs"]).select("window_start", "article_id", "n", F.lit(False).alias("is_open"))
+    return closed.union(open_counts(spark, "q1", window, r["checkpoint"]).select("window_start", "article_id", "n", F.lit(True)))
+
+
+for _w in ("1h", "24h"):
+    C._register(f"stream_open_counts_{_w}", f"""SELECT *, window_start + INTERVAL '{_WIDTH[_w]}' > (SELECT max(ts) FROM events) AS is_open
+FROM ({C._count_sql(C._EVENTS_CTE, _w)}) AS t""")(lambda spark, sf_dir, w=_w: _open_and_closed(spark, sf_dir, w))
+
+
+def replay_rescaled(spark, sf_dir, window, before=2, after=5):
+    """The wire messages step by step; after the first step the levels go on with ``after`` state partitions."""
+    from windtally.operators.quality import valid_only, with_validity
+    from windtally.streaming.shared import start_shared
+    from windtally.streaming.state import seed_generation
+
+    steps = C._wire_steps(spark, sf_dir)
+    schema = steps.drop("step").schema
+    src, logs, ck = ([scratch_path(spark, f"rescaled-{k}{g}") for g in (0, 1)] for k in ("in", "logs", "ckpt"))
+    out, seeds = scratch_path(spark, "rescaled-out"), None
+    for k in range(C.STEPS):
+        g = min(k, 1)
+        steps.where(F.col("step") == k).drop("step").write.mode("append").parquet(src[g])
+        if k == 1:
+            seeds = seed_generation(spark, "q1", checkpoint=ck[0], seeds=scratch_path(spark, "rescaled-seeds"), wanted=(window,))
+        live = valid_only(with_validity(spark.readStream.schema(schema).parquet(src[g]), F.lit(0).cast("bigint")))
+        start_shared(live, "q1", logs=logs[g], out=f"{out}/gen={g}", checkpoint=ck[g], wanted=(window,), fmt="lines", seeds=seeds,
+                     state_partitions=(before, after)[g])
+    return out, ck
+
+
+@C._register("stream_rescaled_rank_lines_24h", C._closed_valid(C._rank_lines_sql(C._VALID_CTE, "24h"), "24 hours"))
+def _rescaled(spark, sf_dir):
+    """The state of one checkpoint goes on in another with more partitions."""
+    out, _ = replay_rescaled(spark, sf_dir, "24h")
+    schema = "window_start timestamp_ntz, value string"
+    return spark.read.schema(schema).parquet(f"{out}/gen=0/24h", f"{out}/gen=1/24h").select("window_start", "value")
+
+
 # --------------------------------------------------- exact lateness
 # Every tenth event arrives three hours late; the topic has three partitions.
 _LATE_US, _SOURCES = 3 * 3600 * 1_000_000, 3

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from windtally.functions.timewin import DAY, DAYS30, HOUR, TWO_HOURS, WEEK, WindowSpec
+from windtally.functions.timewin import DAY, DAYS30, HOUR, TWO_HOURS, WEEK, WindowSpec, bucket_label
 from windtally.operators.rollup import ENTRY, count_by
 from windtally.plans.queries import bucket_counts_all
 from windtally.session import ensure_dir, ensure_utc, path_exists, rename_path
@@ -66,11 +66,26 @@ LEVELS = {
 KEY = {"q1": "article_id", "q2": "bucket"}
 
 
-def first_counts(comments: DataFrame, query: str, latency: bool = False, delay: str = "0 seconds") -> DataFrame:
-    """Counts of the first level (append mode): ``window, <key>, n[, max_entry_time]``."""
+def first_counts(comments: DataFrame, query: str, latency: bool = False, delay: str = "0 seconds",
+                 seeds: DataFrame | None = None) -> DataFrame:
+    """Counts of the first level (append mode): ``window, <key>, n[, max_entry_time]``.
+
+    ``seeds``: log rows with partial counts of windows that another checkpoint left open."""
     ensure_utc(comments.sparkSession)
-    seen = watermarked(comments, delay)
-    return count_by(seen, HOUR, ["article_id"], with_entry=latency) if query == "q1" else bucket_counts_all(seen, latency)
+    if seeds is None:
+        seen = watermarked(comments, delay)
+        return count_by(seen, HOUR, ["article_id"], with_entry=latency) if query == "q1" else bucket_counts_all(seen, latency)
+    one = F.lit(1) if query == "q1" else F.when(F.col("depth") == 1, 1).otherwise(0)
+    key = F.col("article_id") if query == "q1" else F.lit(None).cast("string")
+    entry = F.when(one > 0, F.col("entry_time")) if latency else F.lit(None).cast("long")
+    rows = comments.select(F.col("create_ts").alias("t"), key.alias("key"), one.cast("long").alias("n"), entry.alias(ENTRY))
+    out = summed(rows.unionByName(seeds.select("t", key_or_null(query), "n", ENTRY)), LEVELS[query][next(iter(LEVELS[query]))].spec, KEY[query], latency, delay)
+    return out if query == "q1" else out.withColumn(KEY[query], bucket_label(F.col("window.start")))
+
+
+def key_or_null(query: str):
+    """The first level of Q2 counts by window alone; its bucket follows from the window."""
+    return F.col("key") if query == "q1" else F.lit(None).cast("string").alias("key")
 
 
 def log_stream(spark: SparkSession, log: str) -> DataFrame:
@@ -79,12 +94,12 @@ def log_stream(spark: SparkSession, log: str) -> DataFrame:
     return spark.readStream.schema(LOG_SCHEMA).parquet(log)
 
 
-def summed(rows: DataFrame, spec: WindowSpec, key: str, latency: bool = False) -> DataFrame:
+def summed(rows: DataFrame, spec: WindowSpec, key: str, latency: bool = False, delay: str = "0 seconds") -> DataFrame:
     """Counts of a coarser level from the log rows of a finer one (append mode)."""
     aggs = [F.sum("n").alias("n")] + ([F.max(ENTRY).alias(ENTRY)] if latency else [])
     cols = ["t", F.col("key").alias(key), "n"] + ([ENTRY] if latency else [])
     # the heartbeats take part, else they would be filtered out before the watermark sees them
-    return (rows.select(*cols).withWatermark("t", "0 seconds")
+    return (rows.select(*cols).withWatermark("t", delay)
             .groupBy(spec.over("t").alias("window"), key).agg(*aggs).filter("n > 0"))
 
 
@@ -137,13 +152,18 @@ def log_writer(log: str, checkpoint: str, key: str, publish: Callable[[DataFrame
 def start_level(comments: DataFrame | None, spark: SparkSession, query: str, name: str, *, logs: str, out: str, checkpoint: str,
                 fmt: str = "rows", latency: bool = False, delay: str = "0 seconds", sink: str = "parquet",
                 kafka_options: dict[str, str] | None = None, trigger: dict | None = None,
-                state_partitions: int | None = None) -> StreamingQuery:
-    """Start one level; ``comments`` is needed for the first one only."""
+                state_partitions: int | None = None, seeds: str | None = None) -> StreamingQuery:
+    """Start one level; ``comments`` is needed for the first one only.
+
+    ``seeds``: folder with the windows another checkpoint left open (``state.seed_generation``);
+    give it for the whole life of the new checkpoint."""
     level, key = LEVELS[query][name], KEY[query]
+    seeded = log_stream(spark, seeds) if seeds else None
     if level.source is None:
-        counts = first_counts(comments, query, latency, delay)
+        counts = first_counts(comments, query, latency, delay, seeded)
     else:
-        counts = summed(log_stream(spark, f"{logs}/{level.source}"), level.spec, key, latency)
+        rows = log_stream(spark, f"{logs}/{level.source}")
+        counts = summed(rows.unionByName(seeded) if seeds else rows, level.spec, key, latency)
     log, own = f"{logs}/{name}", f"{checkpoint}/{name}"
     ensure_dir(spark, log)
     publish = batch_writer(f"{out}/{name}", query, fmt, latency, sink, kafka_options) if level.published else None
@@ -162,7 +182,8 @@ def chain(query: str, wanted: tuple[str, ...] | None = None) -> list[str]:
 
 
 def start_shared(comments: DataFrame, query: str, *, logs: str, out: str, checkpoint: str, wanted: tuple[str, ...] | None = None,
-                 kafka: Callable[[str], dict[str, str]] | None = None, trigger: dict | None = None, **options) -> list[StreamingQuery]:
+                 kafka: Callable[[str], dict[str, str]] | None = None, trigger: dict | None = None,
+                 seeds: dict[str, str] | None = None, **options) -> list[StreamingQuery]:
     """Start the levels of ``query``; results go to ``out/<window>``.
 
     With ``availableNow`` (default) each level is finished before the next one
@@ -171,7 +192,7 @@ def start_shared(comments: DataFrame, query: str, *, logs: str, out: str, checkp
     at_once = not trigger or "availableNow" in trigger or "once" in trigger
     for name in chain(query, wanted):
         h = start_level(comments, spark, query, name, logs=logs, out=out, checkpoint=checkpoint, trigger=trigger,
-                        kafka_options=kafka(name) if kafka else None, **options)
+                        kafka_options=kafka(name) if kafka else None, seeds=(seeds or {}).get(name), **options)
         handles.append(h)
         if at_once:
             h.awaitTermination()
