@@ -75,10 +75,14 @@ class Aligner:
         letters = byte_letters()
         with open(path_a, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
-        self.bytes_a = {i: bytes(letters[c] for c in t) for t, i in vocab.items() if all(c in letters for c in t)}
+        known = {i: bytes(letters[c] for c in t) for t, i in vocab.items() if all(c in letters for c in t)}
+        self.bytes_a = [known.get(i, b"") for i in range(self.a.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.size_a, self.size_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
+        self.blank = self.b.piece_to_id("▁")
+        self.said = Said()
         # a merge across a blank would need a piece with a blank after another character
         self.by_segment = self.a.by_word and not any(re.search("[^▁]▁", p) for p in pieces)
         self.young: dict[str, tuple | None] = {}
@@ -116,40 +120,63 @@ class Aligner:
             del young[w]
         return out
 
-    def entries(self, words: list[str]):
+    def entries(self, words: list[str]) -> list[tuple | None]:
+        """Entries of new segments, all aligned at once in one line of their bytes."""
+        if not words:
+            return []
+        raws = [w.encode() for w in words]
         coded_a = self.a.parts(words)
-        coded_b = self.b.encode([w[1:] for w in words], num_threads=1) if words else []
-        for w, a, b in zip(words, coded_a, coded_b):
-            yield self.align(w, np.frombuffer(a, self.a.kind).tolist(), b)
-
-    def align(self, w: str, a: list[int], b: list[int]) -> tuple | None:
-        raw = w.encode()
-        try:
-            bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        except KeyError:
-            return None
-        if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
-            return None
-        links, groups = [], []
-        i = j = from_i = from_j = 0
-        end_a, end_b = len(bytes_a[0]), len(bytes_b[0])
-        while True:
-            links.append(a[i] << B_BITS + DOC_BITS | b[j] << DOC_BITS)
-            if end_a < end_b:
-                i += 1
-                end_a += len(bytes_a[i])
-            elif end_b < end_a:
-                j += 1
-                end_b += len(bytes_b[j])
-            else:
-                i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
-                if i == len(a):
-                    break
-                from_i, from_j = i, j
-                end_a += len(bytes_a[i])
-                end_b += len(bytes_b[j])
-        return np.array(links, "<u8").tobytes(), ";".join(groups), len(a)
+        coded_b = self.b.encode([w[1:] for w in words], num_threads=1)
+        if " " in words:  # a lone blank at a text's end: encoding nothing gives no token
+            coded_b[words.index(" ")] = [self.blank]
+        n_a = np.array([len(x) for x in coded_a]) // self.a.kind.itemsize
+        n_b = np.array([len(x) for x in coded_b])
+        size = np.array([len(r) for r in raws])
+        a = np.frombuffer(b"".join(coded_a), self.a.kind).astype(np.int64)
+        b = np.array([i for x in coded_b for i in x], np.int64)
+        word_a, word_b = np.repeat(np.arange(len(words)), n_a), np.repeat(np.arange(len(words)), n_b)
+        same = self._same(raws, size, a, word_a, self.bytes_a, self.size_a) & self._same(raws, size, b, word_b, self.bytes_b, self.size_b)
+        out: list[tuple | None] = [None] * len(words)
+        good = np.flatnonzero(same)
+        if not len(good):
+            return out
+        number = np.cumsum(same) - 1
+        keep_a, keep_b = same[word_a], same[word_b]
+        a, b, word_a, word_b, n_a = a[keep_a], b[keep_b], number[word_a[keep_a]], number[word_b[keep_b]], n_a[good]
+        end_a, end_b, ends = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), np.cumsum(size[good])
+        # between two cuts of either side lies the overlap of one A and one B token
+        cut = np.unique(np.concatenate([end_a, end_b]))
+        i, j = np.searchsorted(end_a, cut), np.searchsorted(end_b, cut)
+        links = (a[i] << B_BITS + DOC_BITS | b[j] << DOC_BITS).astype("<u8").tobytes()
+        stop = (8 * np.cumsum(np.bincount(word_a[i], minlength=len(good)))).tolist()
+        # a group ends where both sides do; its A tokens stand before its B tokens
+        closes_a = end_b[np.searchsorted(end_b, end_a)] == end_a
+        closes_b = end_a[np.searchsorted(end_a, end_b)] == end_b
+        order = np.argsort(np.concatenate([2 * (np.cumsum(closes_a) - closes_a), 2 * (np.cumsum(closes_b) - closes_b) + 1]), kind="stable")
+        after_b = np.where(closes_b, np.where(end_b == ends[word_b], 3, 2), 0)
+        said = np.concatenate([4 * a + closes_a, 4 * b + after_b])[order].tolist()
+        texts = "".join(map(self.said.__getitem__, said)).split("\n")
+        for k, lo, hi, groups, n in zip(good.tolist(), [0, *stop], stop, texts, n_a.tolist()):
+            out[k] = links[lo:hi], groups, n
+        return out
+
+    @staticmethod
+    def _same(raws: list[bytes], size: np.ndarray, ids: np.ndarray, word: np.ndarray, texts: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        """Which segments' tokens, joined, are their bytes."""
+        same = np.bincount(word, sizes[ids], minlength=len(raws)) == size
+        if same.all() and b"".join([texts[i] for i in ids.tolist()]) == b"".join(raws):
+            return same
+        at = np.searchsorted(word, np.arange(len(raws) + 1)).tolist()
+        ids = ids.tolist()
+        return np.array([b"".join([texts[i] for i in ids[lo:hi]]) == r for lo, hi, r in zip(at, at[1:], raws)], bool)
+
+
+class Said(dict):
+    """Number and what follows it, by 4 * number + (0 for ``,``, 1 for ``|``, 2 for ``;``, 3 for a line's end)."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = text = f"{code // 4}{',|;'[code % 4] if code % 4 < 3 else chr(10)}"
+        return text
 
 
 def worker_aligner(path_a: str, path_b: str) -> Aligner:
