@@ -105,6 +105,13 @@ def reassign(x: np.ndarray, state: np.ndarray, history: list[np.ndarray], now: i
     return state, len(open_)
 
 
+def _rows(b: pa.RecordBatch, dim: int, width: int) -> np.ndarray:
+    """The batch's vectors, filled up with zeros to ``width``."""
+    x = np.zeros((b.num_rows, width), np.int64)
+    x[:, :dim] = np.frombuffer(b"".join(b.column("v").to_pylist()), "<i4").reshape(-1, dim)
+    return x
+
+
 def _round(history: list[np.ndarray], now: int, dim: int, parts: int, entries: int):
     """One pass: every vector's state against the codebook of round ``now``, and the task's sums (rows with ``entry``)."""
     width = history[0].shape[2]
@@ -115,17 +122,13 @@ def _round(history: list[np.ndarray], now: int, dim: int, parts: int, entries: i
         for b in batches:
             if not b.num_rows:
                 continue
-            data = np.stack([np.frombuffer(v, "<i4") for v in b.column("v").to_pylist()])
-            x = np.zeros((len(data), parts * width), np.int64)
-            x[:, :dim] = data
-            x = x.reshape(len(data), parts, width)
-            old = b.column("state").to_pylist()
-            state = np.zeros((len(data), parts), _STATE)
+            x = _rows(b, dim, parts * width).reshape(b.num_rows, parts, width)
+            old = np.frombuffer(b"".join(b.column("state").to_pylist()), _STATE).reshape(-1, parts) if now else None
+            state = np.zeros((b.num_rows, parts), _STATE)
             for p in range(parts):
                 books = [h[p] for h in history]
                 if now:
-                    before = np.stack([np.frombuffer(s, _STATE)[p] for s in old])
-                    state[:, p], _ = reassign(x[:, p], before, books, now)
+                    state[:, p], _ = reassign(x[:, p], old[:, p], books, now)
                 else:
                     state[:, p] = scan(x[:, p], books[0], 0)
                 np.add.at(total[p], state["entry"][:, p], x[:, p])
@@ -156,10 +159,8 @@ def _coded(book: np.ndarray, dim: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            x = np.zeros((b.num_rows, parts * width), np.int64)
-            x[:, :dim] = np.stack([np.frombuffer(v, "<i4") for v in b.column("v").to_pylist()])
-            x = x.reshape(-1, parts, width)
-            entry = np.stack([np.frombuffer(s, _STATE)["entry"] for s in b.column("state").to_pylist()])
+            x = _rows(b, dim, parts * width).reshape(b.num_rows, parts, width)
+            entry = np.frombuffer(b"".join(b.column("state").to_pylist()), _STATE).reshape(-1, parts)["entry"]
             error = sum(own_distances(x[:, p], book[p], entry[:, p]) for p in range(parts))
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("label"),
                                               pa.array([e.tobytes().hex() for e in np.ascontiguousarray(entry)]), pa.array(error)],
