@@ -5,8 +5,9 @@ window goes through a byte embedding, filters of several widths, rectifier,
 max pooling and softmax.  A text's language is the one with the highest mean
 probability over all of its windows, and that mean is the score.
 
-Training: a bounded sample, ``DOCS_PER_LANG`` documents for each language (in
-order of a hash of doc_id) and ``WINDOWS_PER_DOC`` evenly spaced windows of
+Training: every language is learned, from a bounded sample: all languages share
+``SAMPLE_DOCS`` documents evenly, each with ``DOCS_PER_LANG`` at most and one at least (in
+order of a hash of doc_id), and ``WINDOWS_PER_DOC`` evenly spaced windows of
 each; everything else is predicted on whole texts, in batches of
 ``BATCH`` windows whatever a text's length.
 
@@ -31,16 +32,16 @@ FILTERS = 16
 EMBED = 8
 BATCH = 1024
 DOCS_PER_LANG = 600
-#: Ids of a language that are ranked for the sample, as a multiple of DOCS_PER_LANG, and the resolution of the hash that thins them.
+#: Documents of the whole training sample, unless there are more languages than that.
+SAMPLE_DOCS = 24_000
+#: Ids of a language that are ranked for the sample, as a multiple of its share, and the resolution of the hash that thins them.
 THIN = 4
 UNIT = 1 << 40
-#: Languages learned at most, the most frequent first (a bound of the training sample).
-MAX_LANGS = 200
 WINDOWS_PER_DOC = 6
 EPOCHS = 5
 UNKNOWN = "und"
-#: Predictions of a lower score are rejected by ``keep_known``.
-MIN_SCORE = 0.35
+#: ``keep_known`` rejects scores that are less than this share of the way from an even guess to certainty.
+SURE = 2 / 15
 
 
 def has_letter(text: str) -> bool:
@@ -160,6 +161,12 @@ class Net:
         return langs, scores
 
 
+def least_score(n_langs: int) -> float:
+    """The rejection threshold: it falls as an even guess does with the number of languages (0.35 for four)."""
+    even = 1 / max(1, n_langs)
+    return even + SURE * (1 - even) - 1e-6
+
+
 def held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(4)) == 2, F.lit(False))
 
@@ -167,13 +174,14 @@ def held_out() -> Column:
 def training_windows(docs: DataFrame) -> pd.DataFrame:
     """Columns lang, windows (bytes) of the bounded training sample."""
     rows = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("doc_id").alias("ids")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
+    found = rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids")).collect()
+    share = max(1, min(DOCS_PER_LANG, SAMPLE_DOCS // max(1, len(found))))
     # a language's ids are first thinned by hash to a few times the bound, so that none sends more than that to the ranking
-    shares = docs.sparkSession.createDataFrame([(r.lang, -(-THIN * DOCS_PER_LANG * UNIT // r.ids)) for r in found], "lang string, below long")
+    shares = docs.sparkSession.createDataFrame([(r.lang, -(-THIN * share * UNIT // r.ids)) for r in found], "lang string, below long")
     nth = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (rows.join(F.broadcast(shares), "lang")  # at most MAX_LANGS rows
+    chosen = (rows.join(F.broadcast(shares), "lang")  # a row for each language, that is for each class of the model
               .where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(UNIT)) < F.col("below")).select("doc_id", "lang").distinct()
-              .withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= DOCS_PER_LANG).select("doc_id", "lang"))
+              .withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= share).select("doc_id", "lang"))
 
     def cut(batches):
         for b in batches:
@@ -184,7 +192,7 @@ def training_windows(docs: DataFrame) -> pd.DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"], "lang": b["lang"], "windows": out})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")  # at most DOCS_PER_LANG * MAX_LANGS ids
+    texts = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")  # at most SAMPLE_DOCS ids, or one for each language
     cuts = texts.mapInPandas(cut, f"doc_id {kind}, lang string, windows binary")
     return cuts.groupBy("doc_id", "lang").agg(F.min("windows").alias("windows")).orderBy("lang", F.xxhash64("doc_id")).select("lang", "windows").toPandas()
 
@@ -213,9 +221,11 @@ def identify(docs: DataFrame, net: Net | None = None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, net: Net | None = None) -> DataFrame:
-    """Rows of ``docs``, all columns, whose language is known with a score of at least ``MIN_SCORE``."""
-    predict = predictor(net or train(docs))
-    return docs.where(predict(F.col("text").cast("string"))["score"] >= MIN_SCORE)
+    """Rows of ``docs``, all columns, whose language is known with at least ``least_score``.
+    Rows whose text is null or has no letter are not known."""
+    net = net or train(docs)
+    predict = predictor(net)
+    return docs.where(predict(F.col("text").cast("string"))["score"] >= least_score(len(net.langs)))
 
 
 def op10_byte_cnn_language(spark, sf_dir: str) -> DataFrame:
