@@ -6,7 +6,7 @@ import numpy as np
 
 #: Hash buckets of word features.
 BUCKETS = 2048
-#: Bytes handled at a time; a longer text is taken in pieces.
+#: Bytes handled at a time; a longer text is taken in pieces that end between words.
 PIECE = 1 << 20
 STATS = ("words", "bytes", "letters", "digits", "marks", "lines", "again", "upper")
 
@@ -38,8 +38,14 @@ class Profile:
         self.shift = np.uint64(64 - (buckets - 1).bit_length())
         self.up, self.down = _powers(_PRIME, 2 * PIECE + 2), _powers(_INVERSE, 2 * PIECE + 2)
 
+    def _reach(self, n: int) -> None:
+        """Powers for ``n`` bytes: a word longer than a piece is not cut."""
+        if n > len(self.up):
+            self.up, self.down = _powers(_PRIME, n), _powers(_INVERSE, n)
+
     def add(self, pieces: list[bytes], owner: list[int]) -> None:
         raw = np.frombuffer(b"\n".join(pieces) + b"\n", np.uint8)
+        self._reach(len(raw) + 1)
         low = _LOWER[raw]
         kind = _KIND[low]
         ends = np.cumsum([len(p) + 1 for p in pieces])
@@ -70,18 +76,39 @@ class Profile:
             np.add.at(self.distinct, own, np.bincount(home, minlength=n).astype(float))
 
 
+def cuts(data: bytes) -> list[int]:
+    """Ends of the pieces of a text: each after the last byte that is in no word
+    within PIECE bytes, or else after the next such byte, so that no word is cut."""
+    out, lo = [], 0
+    while len(data) - lo > PIECE:
+        gap = np.flatnonzero(_KIND[_LOWER[np.frombuffer(data, np.uint8, PIECE, lo)]] % 3 == 0)
+        if len(gap):
+            lo += int(gap[-1]) + 1
+        else:
+            for at in range(lo + PIECE, len(data), PIECE):
+                gap = np.flatnonzero(_KIND[_LOWER[np.frombuffer(data, np.uint8, min(PIECE, len(data) - at), at)]] % 3 == 0)
+                if len(gap):
+                    lo = at + int(gap[0]) + 1
+                    break
+            else:
+                break
+        out.append(lo)
+    return out if out and out[-1] == len(data) else [*out, len(data)]
+
+
 def profile(texts: list[str | None], buckets: int = BUCKETS, run: int = 0) -> Profile:
     """Stats and buckets of whole texts; null counts as empty.  A text longer
-    than PIECE is cut there (a word across a cut counts as two, and runs begin anew)."""
+    than PIECE is taken in pieces that cut no word; runs begin anew in each."""
     out = Profile(len(texts), buckets, run)
     pieces, owner, size = [], [], 0
     for i, t in enumerate(texts):
         data = (t or "").encode("utf-8", "replace")
-        for lo in range(0, max(1, len(data)), PIECE):
+        ends = cuts(data)
+        for lo, hi in zip([0, *ends], ends):
             if size > PIECE // 2:
                 out.add(pieces, owner)
                 pieces, owner, size = [], [], 0
-            pieces.append(data[lo:lo + PIECE])
+            pieces.append(data[lo:hi])
             owner.append(i)
             size += len(pieces[-1]) + 1
     if pieces:
