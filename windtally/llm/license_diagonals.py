@@ -4,7 +4,9 @@ The 64-bit hash of every rolling word gram of the documents is joined with its p
 license templates; a match votes for the diagonal (document position minus
 template position).  Votes are counted per diagonal, neighbouring diagonals
 (insertions, deletions) are merged, and the merged span is verified by the
-share of the template it covers.  A phrase whose grams all vote on one
+share of the template it covers.  A chain that spans two templates or more (a
+text that repeats parts of one) is taken apart into stretches of one template's length,
+twice, the second time half a length further on, and those that are verified stay.  A phrase whose grams all vote on one
 diagonal stands there word for word.  A place matches by chance one of the
 some 150 template hashes at odds of 150 / 2**64, that is 2e-4 false votes in
 2e13 words.
@@ -77,12 +79,20 @@ def scan(docs: DataFrame, grams: DataFrame) -> tuple[DataFrame, DataFrame, DataF
     along = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
     chained = (strong.withColumn("step", (F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along), F.lit(DRIFT + 1)) > DRIFT).cast("int"))
                .withColumn("chain", F.sum("step").over(along)))
-    spans = (chained.groupBy(*spot, "chain")
+    low_of = Window.partitionBy("doc_id", "text_key", "template", "chain")
+    placed = (chained.withColumn("first", F.min("diagonal").over(low_of))
+              .withColumn("long", F.max("high").over(low_of) - F.min("low").over(low_of) >= 2 * F.col("n_template"))
+              .withColumn("at", F.expr("if(long, array(0, 1), array(0))")).withColumn("tiling", F.explode("at"))
+              .withColumn("stretch", F.expr("if(long, cast((diagonal - first + tiling * cast(n_template / 2 as int)) div n_template as int), 0)")))
+    spans = (placed.groupBy(*spot, "chain", "tiling", "stretch")
              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("covered"),
                   F.min("low").alias("start"), F.max("high").alias("last"))
-             .withColumn("coverage", F.col("covered") / F.col("n_grams"))
-             .where((F.col("coverage") >= COVER) & (F.col("last") - F.col("start") < 2 * F.col("n_template")))
-             .select("doc_id", "text_key", "template", "label", "start", (F.col("last") + GRAM).alias("end"), "coverage"))
+             .withColumn("coverage", F.col("covered") / F.col("n_grams")).where(F.col("coverage") >= COVER))
+    # of a long chain's two tilings, the one with more verified stretches
+    spans = (spans.groupBy(*spot, "chain", "tiling").agg(F.collect_list(F.struct("start", "last", "coverage")).alias("found"))
+             .groupBy(*spot, "chain").agg(F.max_by("found", F.struct(F.size("found"), -F.col("tiling"))).alias("found"))
+             .select("doc_id", "text_key", "template", "label", F.explode("found").alias("s"))
+             .select("doc_id", "text_key", "template", "label", "s.start", (F.col("s.last") + GRAM).alias("end"), "s.coverage"))
     return base, exact, spans
 
 
