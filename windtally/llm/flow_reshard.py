@@ -9,8 +9,14 @@ blocks of about that size.  So there are at most ``2 * BLOCKS_PER_SHARD *
 n_new + n_old`` blocks however many rows there are, and only block sizes reach
 the driver.  Affected shards are then rewritten by one shuffle of their rows.
 
+Rows are dealt by a hash of their doc_id, size and place in the table, so
+repeated rows and rows without doc_id spread like any others and the law holds
+whatever a third of all rows have in common.  The place must be the same
+whenever the table is read: ``row_id`` says what it is (for files: file and
+row number); without one the rows are stored once with a number.
+
 Law: ``bytes``.  Defined results: null texts have no bytes (size 16, crc of the
-empty text); repeated rows are separate rows, in one block; null doc_ids are
+empty text); repeated rows are separate rows; null doc_ids are
 dealt like a value; null old shards count as shard 0; an empty table gives no
 rows.  Rows equal in all read columns are interchangeable between slots.
 """
@@ -25,7 +31,7 @@ from pyspark.sql import functions as F
 
 from windtally.session import scratch_path
 
-from .common import table, text_of
+from .common import stored, table, text_of
 
 N_SHARDS = 40
 ROW_BYTES = 16
@@ -109,11 +115,14 @@ def deal_blocks(blocks: list[tuple[int, int]], flow: np.ndarray, staying: list[i
     return to
 
 
-def plan(docs: DataFrame, old: Column, n_new: int = N_SHARDS) -> DataFrame:
+def plan(docs: DataFrame, old: Column, n_new: int = N_SHARDS, row_id: Column | None = None) -> DataFrame:
     """``docs`` with ``_old, _size, _key, _shard``: every row's new shard."""
     spark = docs.sparkSession
-    sized = (docs.withColumn("_old", F.coalesce(old.cast("int"), F.lit(0))).withColumn("_size", row_size())
-             .withColumn("_key", F.xxhash64("doc_id", F.col("_size"))))
+    rows = docs.withColumn("_old", F.coalesce(old.cast("int"), F.lit(0)))
+    if row_id is None:
+        rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        row_id = F.col("_row")
+    sized = rows.withColumn("_size", row_size()).withColumn("_key", F.xxhash64("doc_id", F.col("_size"), row_id)).drop("_row")
     totals = {r["_old"]: r["b"] for r in sized.groupBy("_old").agg(F.sum("_size").alias("b")).collect()}
     olds, total = sorted(totals), sum(totals.values())
     unit = max(1, math.ceil(total / n_new / BLOCKS_PER_SHARD))
@@ -133,19 +142,20 @@ def plan(docs: DataFrame, old: Column, n_new: int = N_SHARDS) -> DataFrame:
     return sized.join(F.broadcast(dealt), ["_old", "_own", "_block"])
 
 
-def reshard(docs: DataFrame, old: Column, out: str, n_new: int = N_SHARDS, only_affected: bool = False) -> DataFrame:
+def reshard(docs: DataFrame, old: Column, out: str, n_new: int = N_SHARDS, only_affected: bool = False,
+            row_id: Column | None = None) -> DataFrame:
     """Write new shards as ``out/shard=<n>`` (doc_id, text, slot) and return
-    them as read back.  With ``only_affected``, shards that neither lose nor
-    gain a row are left as they are and are not rewritten."""
+    all rows, those of written shards as read back.  With ``only_affected``, shards that neither lose nor
+    gain a row are not rewritten: their rows are read where they are."""
     spark = docs.sparkSession
-    planned = plan(docs.select("doc_id", "text", old.alias("_was")), F.col("_was"), n_new)
+    ids = [] if row_id is None else [F.xxhash64(row_id).alias("_id")]
+    planned = plan(docs.select("doc_id", "text", old.alias("_was"), *ids), F.col("_was"), n_new, F.col("_id") if ids else None)
     sums = planned.groupBy("_shard").agg(F.sum("_size").alias("b"), F.max(F.col("_old") != F.col("_shard")).alias("in"))
     facts = {r["_shard"]: r for r in sums.collect()}
     parts = max(1, math.ceil(max((r["b"] for r in facts.values()), default=0) / PART_BYTES))
     if only_affected:
         losing = {r["_old"] for r in planned.where("_old <> _shard").select("_old").distinct().collect()}
         touched = sorted({j for j, r in facts.items() if r["in"]} | losing)
-        planned = planned.where(F.col("_shard").isin(touched))
     planned = planned.withColumn("_part", F.pmod(F.col("_key"), F.lit(parts)).cast("int"))
     before = Window.partitionBy("_shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = (planned.groupBy("_shard", "_part").agg(F.count(F.lit(1)).alias("n"))
@@ -154,17 +164,19 @@ def reshard(docs: DataFrame, old: Column, out: str, n_new: int = N_SHARDS, only_
     rows = planned.select("doc_id", "text", "_shard", "_part", F.row_number().over(inside).alias("_nth"))
     bases = bases.withColumnsRenamed({"_shard": "_s", "_part": "_p"})
     slotted = rows.join(bases, (rows["_shard"] == bases["_s"]) & (rows["_part"] == bases["_p"]))
-    (slotted.select("doc_id", "text", (F.col("_base") + F.col("_nth") - 1).alias("slot"), F.col("_shard").alias("shard"))
-     .write.partitionBy("shard").parquet(out))
+    done = slotted.select("doc_id", "text", (F.col("_base") + F.col("_nth") - 1).alias("slot"), F.col("_shard").alias("shard"))
     kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, slot long, shard int"
-    return spark.read.schema(kinds).parquet(out)
+    written = done.where(F.col("shard").isin(touched)) if only_affected else done
+    written.write.partitionBy("shard").parquet(out)
+    back = spark.read.schema(kinds).parquet(out)
+    return back.unionByName(done.where(~F.col("shard").isin(touched))) if only_affected else back
 
 
 def op8_flow_reshard(spark, sf_dir: str) -> DataFrame:
     """The table is taken as stored by source (old shard: crc32 of the source
     modulo 40) and goes to 40 shards of equal bytes."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").withColumn("_place", F.struct("_metadata.file_path", "_metadata.row_index"))
     old = F.pmod(F.crc32(F.encode(F.coalesce(F.col("source").cast("string"), F.lit("")), "UTF-8")), F.lit(N_SHARDS)).cast("int")
-    files = reshard(docs, old, f"{scratch_path(spark, 'reshard')}/shards")
+    files = reshard(docs, old, f"{scratch_path(spark, 'reshard')}/shards", row_id=F.xxhash64("_place.file_path", "_place.row_index"))
     return files.select("doc_id", row_size().alias("size"), F.crc32(F.encode(text_of(), "UTF-8")).alias("text_crc32"),
                         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
