@@ -260,3 +260,91 @@ def test_bounds_skip_scans_and_never_err():
     # there and back: the net displacement is nothing, so no bound has to give
     back, n = vector_codes.reassign(x, vector_codes.scan(x, history[0], 0), [history[0], history[0] + 50, history[0]], 2)
     assert n <= (x[:, None] == history[0][None]).all(axis=2).sum() and (back["entry"] == vector_codes.scan(x, history[0], 0)["entry"]).all()
+
+
+# ------------------------------------------------ limits taken out of earlier operators
+def test_many_languages_are_all_learned(spark):
+    from windtally.llm import byte_cnn
+
+    df = spark.createDataFrame([(k * 4 + j, f"word{k} text", f"l{k:03d}") for k in range(260) for j in range(4)], "doc_id long, text string, lang string")
+    sample = byte_cnn.training_windows(df)
+    free = {lang for i, _, lang in df.collect() if __import__("zlib").crc32(str(i).encode()) % 4 != 2}
+    assert set(sample["lang"]) == free and len(free) > 250
+    assert byte_cnn.least_score(4) == pytest.approx(0.35, abs=1e-5)
+    assert byte_cnn.least_score(1) <= 1 and 1 / 260 < byte_cnn.least_score(260) < 0.2
+    shares = [byte_cnn.least_score(k) * k for k in (2, 4, 50, 260)]
+    assert shares == sorted(shares)  # always above an even guess
+
+
+def test_words_are_whole_across_pieces(monkeypatch):
+    from windtally.llm import textvec
+
+    r = random.Random(1)
+    texts = [" ".join("".join(r.choice("abcdé") for _ in range(r.randrange(1, 90))) for _ in range(200)) for _ in range(5)] + ["x" * 700, "%" * 700, "", "a " * 99]
+    whole = textvec.profile(texts)
+    monkeypatch.setattr(textvec, "PIECE", 64)
+    parts = textvec.profile(texts)
+    assert (whole.stats[:, :6] == parts.stats[:, :6]).all() and (whole.seen == parts.seen).all()
+    assert parts.stats[5, 0] == 1 and parts.stats[0, 0] == 200
+
+
+def test_long_chain_of_diagonals_keeps_its_passages(spark):
+    from windtally.llm import license_diagonals as ld
+
+    text = dict((b, a) for a, b in ld.PASSAGES)["mit"]
+    stutter = " ".join(text.split()[:3]) + " "
+    df = spark.createDataFrame([(1, stutter * 40 + text + " " + stutter * 40), (2, text), (3, stutter * 40), (4, " ".join([text] * 3))], "doc_id long, text string")
+    got = {r.doc_id: r for r in ld.license_report(df, ld.templates(spark)).collect()}
+    assert "mit" in got[1].labels and got[1].n_spans >= 1
+    assert (got[2].n_spans, got[2].score, got[4].n_spans) == (1, 1.0, 3)
+    assert got[3].labels == ""
+
+
+@pytest.mark.parametrize("same", ["repeated", "null"])
+def test_bytes_law_holds_with_a_third_of_equal_rows(spark, scratch, same):
+    from windtally.llm import flow_reshard as fr
+
+    hot = "7" if same == "repeated" else "cast(null as bigint)"
+    df = spark.range(3000).selectExpr(f"if(id % 3 = 0, {hot}, id) AS doc_id", "repeat('x', 400) AS text", "cast(id % 8 as int) AS old")
+    for n in (5, 40):
+        out = fr.reshard(df, F.col("old"), f"{scratch()}/s", n)
+        load = {r.shard: r.b for r in out.groupBy("shard").agg(F.sum(fr.row_size()).alias("b")).collect()}
+        assert len(load) == n and sum(load.values()) == 3000 * 416
+        assert max(load.values()) - min(load.values()) <= 2 * 416
+        slots = out.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+        assert all(s.n == s.d == s.m + 1 for s in slots)
+
+
+def test_untouched_shards_are_returned_not_rewritten(spark, scratch):
+    from windtally.llm import flow_reshard as fr
+
+    df = spark.range(3000).selectExpr("id AS doc_id", "repeat('x', 40) AS text", "cast(id % 3 as int) AS old")
+    out = f"{scratch()}/s"
+    got = fr.reshard(df, F.col("old"), out, 3, only_affected=True)
+    assert sorted((r.doc_id, r.shard) for r in got.collect()) == [(i, i % 3) for i in range(3000)]
+    assert spark.read.schema("doc_id long").parquet(out).count() == 0
+    # four old shards to three: the fourth is dealt out, bytes moved are the flow's least
+    four = df.withColumn("old", F.pmod("doc_id", F.lit(4)).cast("int"))
+    planned = fr.plan(four, F.col("old"), 3).select("_old", "_shard", "_size").collect()
+    assert {b for _, _, b in planned} == {56}
+    moved = sum(b for o, s, b in planned if o != s)
+    assert 750 * 56 <= moved <= 750 * 56 + 3 * 56 * 3
+
+
+def test_reshard_query_against_its_table(spark, scratch):
+    from windtally.llm import flow_reshard as fr
+
+    path = scratch("docs")
+    rows = [(i if i % 3 else 5, None if i % 11 == 0 else "t" * (i % 50), f"s{i % 6}" if i % 5 else None) for i in range(600)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4).write.mode("append").parquet(f"{path}/documents.parquet")
+    got = fr.op8_flow_reshard(spark, path).collect()
+    want = sorted((d, len(t or "") + 16, __import__("zlib").crc32((t or "").encode())) for d, t, _ in rows)
+    assert sorted((r.doc_id, r["size"], r.text_crc32) for r in got) == want
+    assert {(r.law, r.grown_shard) for r in got} == {("bytes", None)} and {r.shard for r in got} <= set(range(40))
+    load = defaultdict(int)
+    slots = defaultdict(list)
+    for r in got:
+        load[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    assert len(load) == 40 and max(load.values()) - min(load.values()) <= 66
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
