@@ -348,7 +348,7 @@ def _step(c, first):
     return F.least(F.floor((F.unix_seconds(c) - F.lit(first)) / STEP_SECONDS), F.lit(STEPS - 1))
 
 
-def _replay(spark, table, change, query, window, fmt="rows", chained=True):
+def _replay(spark, table, change, query, window, fmt="rows", chained=True, distinct=False):
     """Stream ``table(step, ...)`` step by step: the rows of a step arrive as
     new files, and a run of the query (restarted on its checkpoint) takes them
     in.  Returns the windows closed over all steps."""
@@ -359,7 +359,7 @@ def _replay(spark, table, change, query, window, fmt="rows", chained=True):
     for k in range(STEPS):
         table.where(F.col("step") == k).drop("step").write.mode("append").parquet(src)
         live = spark.readStream.schema(table.drop("step").schema).parquet(src)
-        handle = start(change(live), query, window, path=out, checkpoint=ck, fmt=fmt, chained=chained,
+        handle = start(change(live), query, window, path=out, checkpoint=ck, fmt=fmt, chained=chained, distinct=distinct,
                        state_partitions=spark.sparkContext.defaultParallelism)
         handle.awaitTermination()
         if handle.exception() is not None:

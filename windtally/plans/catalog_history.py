@@ -180,3 +180,29 @@ C._register("threshold_rank_7d", C._rank_sql(C._EVENTS_CTE, "7d"))(
     lambda spark, sf_dir: _threshold(comments_from_events(spark, sf_dir).select("article_id", "create_ts")))
 C._register("threshold_rank_lineitem_7d", C._rank_sql(C._LINEITEM_CTE, "7d"))(
     lambda spark, sf_dir: _threshold(comments_from_lineitem(spark, sf_dir).select("article_id", "create_ts")))
+
+
+# ------------------------------------------------ messages sent again
+@C._register("stream_dedup_rank_1h", C._closed(C._rank_sql(C._EVENTS_CTE, "1h"), "1 hour"))
+def _dedup(spark, sf_dir):
+    """Every comment counts once: some messages come twice at once, some again one or two steps later."""
+    steps = event_steps(spark, sf_dir)
+    again = lambda rule, later: (steps.where(rule)
+                                 .withColumn("step", F.least(F.col("step") + later, F.lit(C.STEPS - 1))))
+    sent = steps.unionByName(again("event_id % 5 = 0", 0)).unionByName(again("event_id % 11 = 3", 1)).unionByName(again("event_id % 13 = 4", 2))
+    return C._replay(spark, sent, events_to_comments, "q1", "1h", distinct=True)
+
+
+# ------------------------------------------ counts in the same pass (P5), jobs
+@C._register("publish_observed", f"""SELECT 'published' AS kind, CAST(event_id AS VARCHAR) AS what, CAST(1 AS BIGINT) AS n
+FROM events WHERE event_id % 20 NOT IN ({C._REJECTED})
+UNION ALL SELECT 'rejected', CASE event_id % 20 {C._REASON_CASE} END, count(*) FROM events WHERE event_id % 20 IN ({C._REJECTED}) GROUP BY ALL""")
+def _publish_observed(spark, sf_dir):
+    """Published messages read back, and the reject counts of the pass that wrote them."""
+    from windtally.operators.observed import publish_observed
+
+    out = f"{scratch_path(spark, 'published')}/messages"
+    counts = publish_observed(C.with_validity(C.wire_from_events(spark, sf_dir), F.lit(0).cast("bigint")), out)
+    published = spark.read.text(out).select(F.lit("published").alias("kind"), F.get_json_object("value", "$.commentID").alias("what"),
+                                            F.lit(1).cast("long").alias("n"))
+    return published.union(spark.createDataFrame([("rejected", r, n) for r, n in counts.items()], "kind string, what string, n long"))

@@ -22,7 +22,7 @@ from windtally.operators.rollup import flatten, rollup
 from windtally.plans import queries as Q
 from windtally.session import checkpoint_root, ensure_dir, scratch_path
 from windtally.sources.comments import encode_wire
-from windtally.sources.sinks import RESULT_TOPICS, write_kafka, write_parquet, write_text
+from windtally.sources.sinks import RESULT_TOPICS, result_records, write_kafka, write_parquet, write_text
 from windtally.streaming import runner
 
 WINDOWS = {"q1": ("1h", "24h", "7d"), "q2": ("24h", "7d", "30d")}
@@ -65,7 +65,7 @@ def write_batch(results: dict[str, DataFrame], query: str, sink: str, out: str |
         elif sink == "parquet":
             write_parquet(df, f"{out}/{topic}")
         elif sink == "kafka":
-            write_kafka(df.select("value"), {**(kafka or {}), "topic": topic})
+            write_kafka(result_records(df, topic), {**(kafka or {}), "topic": topic})
         else:
             raise ValueError(f"unknown sink {sink!r}")
 

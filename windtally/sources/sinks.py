@@ -47,6 +47,19 @@ def kafka_records(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def result_records(lines: DataFrame, topic: str) -> DataFrame:
+    """Result lines as keyed messages.  The key names result and window, so a
+    line that a replayed batch sends again has the key it had before, and a
+    compacted topic or ``distinct_results`` keeps one of them."""
+    start = F.date_format(F.col("window_start"), "yyyy-MM-dd'T'HH:mm:ss")
+    return lines.select(F.concat(F.lit(f"{topic}|"), start).alias("key"), F.col("value").cast("string").alias("value"))
+
+
+def distinct_results(messages: DataFrame) -> DataFrame:
+    """One message for each result and window, whatever was sent again."""
+    return messages.dropDuplicates(["key"])
+
+
 def write_kafka(df: DataFrame, options: dict[str, str]) -> None:
     """Batch publish (needs the Kafka connector jar)."""
     kafka_records(df).write.format("kafka").options(**options).save()

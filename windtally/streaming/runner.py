@@ -15,7 +15,8 @@ Plan of one running result (e.g. Q1, 7 days)::
 * Each batch that closes a window writes to ``<path>/batch=<id>`` with
   overwrite, so a batch replayed after a failure replaces its own output
   (idempotent); other batches write nothing.  Text lines of a batch are
-  sorted by window start.
+  sorted by window start.  A topic gets a replayed line again, under the same
+  key (result and window): readers keep one per key.
 * ``checkpointLocation`` is mandatory: offsets, state and commits survive
   driver or executor loss.
 * Late data: a record behind the watermark of the previous batch is
@@ -34,6 +35,7 @@ from windtally.functions.timewin import DAY, DAYS30, HOUR, WEEK
 from windtally.operators.ranking import ordered_profile, ranking_array, top_n, with_window_max
 from windtally.operators.rollup import flatten, hierarchy, rollup
 from windtally.plans.queries import bucket_counts_all
+from windtally.sources.sinks import result_records, write_kafka
 
 Q1_CHAIN = {"1h": (HOUR,), "24h": (HOUR, DAY), "7d": (HOUR, DAY, WEEK)}
 Q2_SPEC = {"24h": DAY, "7d": WEEK, "30d": DAYS30}
@@ -45,9 +47,13 @@ def watermarked(comments: DataFrame, delay: str = "0 seconds", time_col: str = "
 
 
 def window_counts(comments: DataFrame, query: str, window: str, latency: bool = False,
-                  delay: str = "0 seconds", chained: bool = True) -> DataFrame:
+                  delay: str = "0 seconds", chained: bool = True, distinct: bool = False) -> DataFrame:
     """The stateful (append-mode) part of a result: keyed counts per window.
 
+    ``distinct`` counts a comment once however often its message is sent: its
+    id is kept until the watermark passes the comment, and a message that comes
+    after that is late itself.
+
     ``chained`` (default, as specified) builds Q1's larger windows from the
     closed smaller ones (1h -> 24h -> 7d: one state store per level).  With
     ``chained=False`` the result window is counted directly from the
@@ -55,6 +61,8 @@ def window_counts(comments: DataFrame, query: str, window: str, latency: bool =
     record that is late for its hour yet inside an open day/week is then
     still counted."""
     wm = watermarked(comments, delay)
+    if distinct:
+        wm = wm.dropDuplicatesWithinWatermark(["comment_id"])
     if query == "q1":
         cols = ["article_id", "create_ts"] + (["entry_time"] if latency else [])
         chain = Q1_CHAIN[window] if chained else Q1_CHAIN[window][-1:]
@@ -107,7 +115,7 @@ def batch_writer(path: str, query: str, fmt: str = "rows", latency: bool = False
             ordered = out.orderBy("window_start") if "window_start" in out.columns else out
             ordered.select("value").write.mode("overwrite").text(f"{path}/batch={batch_id}")
         elif sink == "kafka":
-            out.select("value").write.format("kafka").options(**(kafka_options or {})).save()
+            write_kafka(result_records(out, (kafka_options or {}).get("topic", query)), kafka_options or {})
         else:
             raise ValueError(f"unknown sink {sink!r}")
 
@@ -133,13 +141,13 @@ def start(comments: DataFrame, query: str, window: str, *, path: str, checkpoint
           fmt: str = "rows", latency: bool = False, delay: str = "0 seconds",
           sink: str = "parquet", kafka_options: dict[str, str] | None = None,
           trigger: dict | None = None, name: str | None = None,
-          state_partitions: int | None = None, chained: bool = True) -> StreamingQuery:
+          state_partitions: int | None = None, chained: bool = True, distinct: bool = False) -> StreamingQuery:
     """Start one continuous result (one of the six) and return its handle.
 
     ``state_partitions``: number of state-store partitions per stateful
     operator (default: the session's shuffle partitions); size it to the
     cluster's cores, it cannot change for an existing checkpoint."""
-    counts = window_counts(comments, query, window, latency, delay, chained)
+    counts = window_counts(comments, query, window, latency, delay, chained, distinct)
     w = (counts.writeStream.outputMode("append")
          .option("checkpointLocation", checkpoint)
          .foreachBatch(batch_writer(path, query, fmt, latency, sink, kafka_options)))
@@ -177,7 +185,7 @@ def start_native(lines: DataFrame, *, checkpoint: str, sink: str = "text", path:
                  state_partitions: int | None = None) -> StreamingQuery:
     """Append-mode stream straight to a file or Kafka sink (no foreachBatch)."""
     if sink == "kafka":
-        lines = lines.select("value")
+        lines = result_records(lines, (kafka_options or {}).get("topic", "result"))
     w = lines.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if sink == "kafka":
         w = w.format("kafka").options(**(kafka_options or {}))
