@@ -206,3 +206,26 @@ def _publish_observed(spark, sf_dir):
     published = spark.read.text(out).select(F.lit("published").alias("kind"), F.get_json_object("value", "$.commentID").alias("what"),
                                             F.lit(1).cast("long").alias("n"))
     return published.union(spark.createDataFrame([("rejected", r, n) for r, n in counts.items()], "kind string, what string, n long"))
+
+
+# ---------------------------------------- quoted line feeds, read in parallel
+def with_line_feeds(comments):
+    """Comments whose place, and every seventh's name, hold line feeds and quotes."""
+    place = F.replace(F.col("user_location"), F.lit(", "), F.lit(',\n"'))
+    name = F.when(F.col("comment_id") % 7 == 2, F.concat(F.lit("a\n\nb "), F.col("user_display_name"))).otherwise(F.col("user_display_name"))
+    return comments.withColumn("user_location", place).withColumn("user_display_name", name)
+
+
+_LF_MEMBERS = (C._MEMBERS.replace("user_display_name, user_id", "CASE WHEN comment_id % 7 = 2 THEN 'a' || chr(10) || chr(10) || 'b ' || user_display_name ELSE user_display_name END AS user_display_name, user_id")
+               .replace("user_location", "replace(user_location, ', ', ',' || chr(10) || '\"') AS user_location"))
+
+
+@C._register("csv_multiline_comments", f"WITH m AS ({C._members_sql(1000000)}) SELECT {_LF_MEMBERS} FROM m")
+def _csv_multiline(spark, sf_dir):
+    """All events as CSV files with line feeds in quoted members, read back in byte blocks."""
+    from windtally.operators.quality import valid_only
+    from windtally.sources.comments import csv_comments_multiline, encode_csv
+
+    path = f"{scratch_path(spark, 'csv')}/rows"
+    encode_csv(with_line_feeds(comments_from_events(spark, sf_dir, spread_input=True))).write.text(path)
+    return C._ntz(valid_only(csv_comments_multiline(spark, path, F.lit(0).cast("bigint"), header=False)).drop("entry_time"))

@@ -151,6 +151,18 @@ def csv_comments(spark: SparkSession, path: str, entry_time: Column | None = Non
     return validate_csv(rows, entry_time)
 
 
+def csv_comments_multiline(spark: SparkSession, path: str, entry_time: Column | None = None, header: bool = True) -> DataFrame:
+    """``csv_comments`` (batch) for files whose quoted fields hold line feeds; large files are read by many tasks."""
+    from windtally.sources.csv_records import csv_records
+
+    ensure_utc(spark)
+    schema = T.StructType([*CSV_SCHEMA.fields, T.StructField(RAW_LINE, T.StringType())])
+    opts = {**{k: v for k, v in CSV_OPTIONS.items() if k != "header"}, "columnNameOfCorruptRecord": RAW_LINE}
+    parsed = F.from_csv(F.col("value"), schema.simpleString(), opts)
+    # inline: a barrier, so that the parse is not repeated in every term
+    return validate_csv(csv_records(spark, path, header).select(F.inline(F.array(parsed))), entry_time)
+
+
 def parse_csv_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """CSV lines held in a column (e.g. from a message bus) -> 15 string columns,
     with the same parser and quoting options as ``csv_comments``."""
