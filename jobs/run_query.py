@@ -42,6 +42,8 @@ def main(argv: list[str], spark=None) -> int:
                         "chaining 1h -> 24h -> 7d")
     p.add_argument("--stage", help="stream mode: decode/validate once into this Parquet stage "
                                    "(rejects included) and run the three results from it")
+    p.add_argument("--shared", metavar="DIR", help="stream mode: read the comments once and hand closed windows on "
+                                                   "from level to level through logs in this folder")
     p.add_argument("--state-partitions", type=int, help="stream mode: state-store partitions, fixed for the life of "
                                                         "the checkpoint (default: spark.sql.shuffle.partitions)")
     a = p.parse_args(argv)
@@ -86,6 +88,11 @@ def main(argv: list[str], spark=None) -> int:
                                     chained=not a.direct, state_partitions=a.state_partitions)
         for h in handles:
             h.awaitTermination()
+    elif a.stream and a.shared:
+        handles = jobs.start_shared_streams(comments, q, logs=a.shared, out=a.out, checkpoint=a.checkpoint, sink=a.sink, latency=latency,
+                                            delay=a.delay, kafka=kafka, trigger=trigger, state_partitions=a.state_partitions)
+        for h in handles:
+            h.awaitTermination()
     elif a.stream:
         ck = a.checkpoint
         handles = jobs.start_streams(comments, q, out=a.out, checkpoint=ck, sink=a.sink, latency=latency,

@@ -111,3 +111,29 @@ def test_stream_guard_counts_and_stops(spark, scratch):
             guard.check()
             assert guard.total("rows") == 3 * (len(CASES) - 1) and not guard.tripped
             assert sum(guard.rejects().values()) == 3 * sum(1 for c in CASES if c[3] and c[2] is not None)
+
+
+def test_ingest_stamp_is_constant_in_a_batch_and_rises_between_them(spark, scratch):
+    src, seen = scratch("src"), {}
+    for k in range(3):
+        wire(spark).where("value is not null").select("value").repartition(2).write.mode("append").text(src)
+    checked = json_comments(spark, src, stream=True, max_files_per_trigger=2)
+
+    def note(batch, batch_id):
+        seen[batch_id] = {r[0] for r in batch.select("entry_time").distinct().collect()}
+
+    before = int(time.time() * 1000)
+    checked.writeStream.foreachBatch(note).option("checkpointLocation", scratch("ck")).trigger(availableNow=True).start().awaitTermination()
+    stamps = [seen[k] for k in sorted(seen)]
+    assert len(stamps) == 3 and all(len(s) == 1 for s in stamps)
+    times = [s.pop() for s in stamps]
+    assert before <= times[0] < times[1] < times[2] <= int(time.time() * 1000)
+
+
+def test_scratch_folders_are_listed_by_age(spark, tmp_path):
+    from windtally.session import expired_scratch
+
+    for name in ("stage-" + "0" * 32, "mine", "tokens-" + "a1" * 16):
+        (tmp_path / name).mkdir()
+    assert expired_scratch(spark, 1, str(tmp_path)) == []
+    assert [p.rsplit("/", 1)[1] for p in expired_scratch(spark, -1, str(tmp_path))] == ["stage-" + "0" * 32, "tokens-" + "a1" * 16]

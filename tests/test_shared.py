@@ -110,3 +110,15 @@ def test_latency_is_carried_through_the_levels(spark, week):
             .agg(F.max("entry_time").alias("want")))
     assert by_day.join(want, ["t", "key"]).where("max_entry_time <> want").isEmpty()
     assert by_day.where("max_entry_time IS NULL").isEmpty()
+
+
+def test_job_with_shared_logs_equals_batch(spark, scratch):
+    from jobs.run_query import main
+    from windtally.plans.catalog import QUERIES
+
+    out, logs, ck = scratch("out"), scratch("logs"), scratch("ck")
+    assert main(["query2", "--source", "events", "--input", SF_SMALL, "--out", out, "--sink", "text", "--stream", "--shared", logs, "--checkpoint", ck],
+                spark=spark) == 0
+    got = {r.value for r in spark.read.text(f"{out}/query2-24-hours").collect()}
+    batch = {r.value for r in QUERIES["profile_lines_24h"](spark, SF_SMALL).collect()}
+    assert got < batch and len(batch - got) == 1  # the last day is still open

@@ -229,3 +229,32 @@ def _csv_multiline(spark, sf_dir):
     path = f"{scratch_path(spark, 'csv')}/rows"
     encode_csv(with_line_feeds(comments_from_events(spark, sf_dir, spread_input=True))).write.text(path)
     return C._ntz(valid_only(csv_comments_multiline(spark, path, F.lit(0).cast("bigint"), header=False)).drop("entry_time"))
+
+
+def _job_lines(spark, sf_dir, query, window):
+    """J1 as a job: the wire messages in, text files per result out, and one of them read back."""
+    from windtally.plans import jobs
+    from windtally.sources.sinks import RESULT_TOPICS
+
+    out = scratch_path(spark, "job-out")
+    jobs.write_batch(jobs.batch_results(spark, C._wire_comments(spark, sf_dir), query), query, "text", out)
+    return spark.read.text(f"{out}/{RESULT_TOPICS[(query, window)]}")
+
+
+C._register("job_query1_lines_24h", f"SELECT value FROM ({C._rank_lines_sql(C._VALID_CTE, '24h')}) AS t")(
+    lambda spark, sf_dir: _job_lines(spark, sf_dir, "q1", "24h"))
+C._register("job_query2_lines_7d", f"SELECT value FROM ({C._profile_lines_sql(C._VALID_CTE, '7d')}) AS t")(
+    lambda spark, sf_dir: _job_lines(spark, sf_dir, "q2", "7d"))
+
+
+# A typed comment holds no approveDate past year 9999 (fault 15): its message lacks the member, and a reader rejects it.
+@C._register("job_publish_comments", C.ORACLE_SQL["valid_comments"] + " AND fault <> 15")
+def _job_publish(spark, sf_dir):
+    """J2 as a job: valid comments published as JSON lines (rejects to a quarantine) and read back as a source."""
+    from windtally.operators.quality import valid_only, with_validity
+    from windtally.plans import jobs
+    from windtally.sources.comments import json_comments
+
+    out = f"{scratch_path(spark, 'job-publish')}/messages"
+    jobs.publish(with_validity(C.wire_from_events(spark, sf_dir), F.lit(0).cast("bigint")), "text", out, quarantine=f"{out}-rejects")
+    return C._ntz(valid_only(json_comments(spark, out, entry_time=F.lit(0).cast("bigint"))).drop("entry_time"))

@@ -23,7 +23,7 @@ from windtally.plans import queries as Q
 from windtally.session import checkpoint_root, ensure_dir, scratch_path
 from windtally.sources.comments import encode_wire
 from windtally.sources.sinks import RESULT_TOPICS, result_records, write_kafka, write_parquet, write_text
-from windtally.streaming import runner
+from windtally.streaming import runner, shared
 
 WINDOWS = {"q1": ("1h", "24h", "7d"), "q2": ("24h", "7d", "30d")}
 
@@ -90,6 +90,19 @@ def start_streams(comments: DataFrame, query: str, *, out: str, checkpoint: str,
     return handles
 
 
+def start_shared_streams(comments: DataFrame, query: str, *, logs: str, out: str, checkpoint: str, sink: str = "text",
+                         latency: bool = False, delay: str = "0 seconds", trigger: dict | None = None,
+                         kafka: dict[str, str] | None = None, state_partitions: int | None = None) -> list[StreamingQuery]:
+    """The three continuous results of ``query`` from one read of the comments:
+    each window level is one query and hands its closed windows on through
+    ``logs`` (see ``streaming.shared``)."""
+    topic = lambda name: RESULT_TOPICS.get((query, name), name)
+    return shared.start_shared(
+        comments, query, logs=logs, out=lambda name: f"{out}/{topic(name)}", checkpoint=checkpoint,
+        fmt="rows" if sink == "parquet" else "lines", sink=sink, latency=latency, delay=delay, trigger=trigger,
+        kafka=(lambda name: {**(kafka or {}), "topic": topic(name)}) if sink == "kafka" else None, state_partitions=state_partitions)
+
+
 def decoded(checked: DataFrame) -> DataFrame:
     """``checked`` written once as Parquet under the shared checkpoint root, so
     that results and quarantine do not each read and parse the source."""

@@ -7,7 +7,9 @@ window labels are read in the session time zone, so it is pinned to UTC.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -139,3 +141,17 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     path = f"{scratch_path(df.sparkSession, kind)}/rows"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def expired_scratch(spark: SparkSession, hours: float, root: str | None = None) -> list[str]:
+    """Scratch and stage folders under the checkpoint root that nothing has touched for ``hours``.
+
+    Returned DataFrames read their scratch tables, so nothing is removed here:
+    give the list to the storage's own clean-up once the jobs that made the
+    folders are over.  Checkpoints of running streams are in folders of their own choice and not listed."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root or checkpoint_root(spark))
+    limit = (time.time() - hours * 3600) * 1000
+    there = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(base)
+    return sorted(f.getPath().toString() for f in there
+                  if f.isDirectory() and f.getModificationTime() <= limit and re.search(r"-[0-9a-f]{32}$", f.getPath().getName()))

@@ -149,7 +149,7 @@ def log_writer(log: str, checkpoint: str, key: str, publish: Callable[[DataFrame
     return write
 
 
-def start_level(comments: DataFrame | None, spark: SparkSession, query: str, name: str, *, logs: str, out: str, checkpoint: str,
+def start_level(comments: DataFrame | None, spark: SparkSession, query: str, name: str, *, logs: str, out: str | Callable[[str], str], checkpoint: str,
                 fmt: str = "rows", latency: bool = False, delay: str = "0 seconds", sink: str = "parquet",
                 kafka_options: dict[str, str] | None = None, trigger: dict | None = None,
                 state_partitions: int | None = None, seeds: str | None = None) -> StreamingQuery:
@@ -166,7 +166,8 @@ def start_level(comments: DataFrame | None, spark: SparkSession, query: str, nam
         counts = summed(rows.unionByName(seeded) if seeds else rows, level.spec, key, latency)
     log, own = f"{logs}/{name}", f"{checkpoint}/{name}"
     ensure_dir(spark, log)
-    publish = batch_writer(f"{out}/{name}", query, fmt, latency, sink, kafka_options) if level.published else None
+    target = out(name) if callable(out) else f"{out}/{name}"
+    publish = batch_writer(target, query, fmt, latency, sink, kafka_options) if level.published else None
     w = (counts.writeStream.outputMode("append").option("checkpointLocation", own).queryName(f"{query}_{name}_{uuid.uuid4().hex[:8]}")
          .foreachBatch(log_writer(log, own, key, publish)).trigger(**(trigger or {"availableNow": True})))
     return _start_with_partitions(w, spark, state_partitions)
@@ -181,10 +182,10 @@ def chain(query: str, wanted: tuple[str, ...] | None = None) -> list[str]:
     return [n for n in LEVELS[query] if n in need]
 
 
-def start_shared(comments: DataFrame, query: str, *, logs: str, out: str, checkpoint: str, wanted: tuple[str, ...] | None = None,
+def start_shared(comments: DataFrame, query: str, *, logs: str, out: str | Callable[[str], str], checkpoint: str, wanted: tuple[str, ...] | None = None,
                  kafka: Callable[[str], dict[str, str]] | None = None, trigger: dict | None = None,
                  seeds: dict[str, str] | None = None, **options) -> list[StreamingQuery]:
-    """Start the levels of ``query``; results go to ``out/<window>``.
+    """Start the levels of ``query``; results go to ``out/<window>`` or where the function ``out`` says.
 
     With ``availableNow`` (default) each level is finished before the next one
     starts; with a processing-time trigger all of them run together."""
