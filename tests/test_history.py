@@ -72,7 +72,7 @@ def test_threshold_sums_few_keys_where_counts_are_skewed(spark):
     rows += [(T0 + timedelta(days=i % 7), f"rare{i}") for i in range(400)]
     day = count_by(spark.createDataFrame(rows, "create_ts timestamp, article_id string"), DAY, ["article_id"])
     flat = day.select(F.col("window.start").alias("window_start"), WEEK.over_window("window")["start"].alias("coarse"), "article_id", "n")
-    assert sorted(r.article_id for r in candidates(flat, 7).collect()) == ["hot0", "hot1", "hot2"]
+    assert sorted(r.article_id for r in candidates(flat, WEEK, 7).collect()) == ["hot0", "hot1", "hot2"]
 
 
 def test_threshold_with_fewer_keys_than_places(spark):
