@@ -228,7 +228,8 @@ def _csv_multiline(spark, sf_dir):
 
     path = f"{scratch_path(spark, 'csv')}/rows"
     encode_csv(with_line_feeds(comments_from_events(spark, sf_dir, spread_input=True))).write.text(path)
-    return C._ntz(valid_only(csv_comments_multiline(spark, path, F.lit(0).cast("bigint"), header=False)).drop("entry_time"))
+    # single lines and joined ones read one exchange of the lines; stored, so that it is read back by one scan
+    return stored(C._ntz(valid_only(csv_comments_multiline(spark, path, F.lit(0).cast("bigint"), header=False)).drop("entry_time")), "csv-comments")
 
 
 def _job_lines(spark, sf_dir, query, window):
