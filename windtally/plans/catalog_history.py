@@ -96,7 +96,8 @@ def _rescaled(spark, sf_dir):
     """The state of one checkpoint goes on in another with more partitions."""
     out, _ = replay_rescaled(spark, sf_dir, "24h")
     schema = "window_start timestamp_ntz, value string"
-    return spark.read.schema(schema).parquet(f"{out}/gen=0/24h", f"{out}/gen=1/24h").select("window_start", "value")
+    first, second = (spark.read.schema(schema).parquet(f"{out}/gen={g}/24h").select("window_start", "value") for g in (0, 1))
+    return first.union(second)
 
 
 # --------------------------------------------------- exact lateness
