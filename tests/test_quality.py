@@ -116,3 +116,43 @@ def test_matrix_without_ansi(spark):
         assert [c[0] for c in CASES if got[(c[1], c[2])] != c[3]] == []
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_odd_documents_are_parsed_once_with_the_last_of_repeated_names(spark):
+    import json
+
+    from pyspark.sql import functions as F
+    from windtally.schema import WIRE_FIELDS
+    doc = json.dumps({f: "1" for f in WIRE_FIELDS})
+    depth = '"depth": "1"'
+    cases = [
+        (doc, None), (doc + " tail", None), ("  " + doc, None), (doc[:-1] + ', "depth": "7"}', None),
+        (doc[:-1] + ', "depth": "x"}', "bad:depth"), (doc[:-1] + ', "depth": null}', "bad:depth"),
+        (doc.replace(depth, '"depth": "x"')[:-1] + ', "depth": 7}', None), (doc.replace(depth, '"depth": 1e3'), "bad:depth"),
+        (doc.replace(depth, '"depth": {"a": [1, 2]}'), "bad:depth"), (doc.replace(depth, '"depth": 7'), None),
+        ("[" + doc + "]", "not_json"), (doc[:-1], "not_json"), ("{}", "missing:approveDate"), ("null", "not_json"), ("", "not_json"),
+    ]
+    df = spark.createDataFrame([(str(i), v) for i, (v, _) in enumerate(cases)], "key string, value string")
+    checked = with_validity(df, F.lit(1))
+    got = {int(r.key): r for r in checked.collect()}
+    assert [got[i].reject_reason for i in range(len(cases))] == [reason for _, reason in cases]
+    assert [got[i].depth for i in (0, 3, 6, 9)] == [1, 7, 7, 7]
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "json_object_keys" not in plan
+
+
+def test_ingest_stamp_is_one_within_a_batch_and_rises_between_batches(spark, scratch):
+    """The clock's stamp: constant in a micro-batch, later in a later one."""
+    source, out, check = scratch("in"), scratch("out"), scratch("check")
+    for step in range(3):
+        spark.range(step * 50, step * 50 + 50).selectExpr("to_json(named_struct('n', id)) AS value").coalesce(1).write.mode("append").text(source)
+        live = spark.readStream.schema("value string").format("text").load(source).selectExpr("CAST(NULL AS string) AS key", "value")
+        q = (with_validity(live).select("value", "entry_time").writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", check).trigger(availableNow=True).start())
+        assert q.awaitTermination(120)
+    rows = spark.read.parquet(out).selectExpr("cast(get_json_object(value, '$.n') AS int) div 50 AS step", "entry_time").collect()
+    stamps = {}
+    for r in rows:
+        stamps.setdefault(r.step, set()).add(r.entry_time)
+    assert len(rows) == 150 and all(len(s) == 1 for s in stamps.values())
+    assert max(stamps[0]) < max(stamps[1]) < max(stamps[2])

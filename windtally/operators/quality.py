@@ -145,10 +145,10 @@ def validate_members(staged: DataFrame, get: Getter, present: Getter,
 
 
 # Every member parsed as text: numbers, booleans and nested values keep their
-# JSON text, a JSON null stays NULL.
-_MEMBERS_AS_TEXT = T.StructType([T.StructField(f, T.StringType(), True) for f in [*WIRE_FIELDS, "_corrupt_record"]])
+# JSON text, a JSON null stays NULL.  Repeated names all stay, in their order.
+_MEMBERS_AS_TEXT = T.MapType(T.StringType(), T.StringType(), True)
 # Members and names take double quotes only; text after the closing brace is ignored.
-_JSON_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt_record"}
+_JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
 
 def with_validity(envelope: DataFrame, entry_time: Column | None = None) -> DataFrame:
@@ -159,18 +159,19 @@ def with_validity(envelope: DataFrame, entry_time: Column | None = None) -> Data
     ``entry_time`` defaults to the ingest clock (epoch ms, constant within a
     query execution / micro-batch).
 
-    The document is parsed into a struct of 15 text members (O(1) member
-    access) and its top-level key list; the key list tells an absent member
-    from a JSON null and is NULL for anything that is not a JSON object.
+    The document is parsed once, into a map of text members.  Its names tell an
+    absent member from a JSON null; of a repeated name the last counts.  The map
+    is NULL for anything that is not a JSON object.
     """
     keep = ["key", "value"] + (["timestamp"] if "timestamp" in envelope.columns else [])
-    staged = envelope.select(*keep,
-                             F.from_json(F.col("value"), _MEMBERS_AS_TEXT, _JSON_OPTIONS).alias("__s"),
-                             F.json_object_keys(F.col("value")).alias("__k"))
-    pre = [(F.col("value").isNotNull(), "value_null"),
-           (F.col("__k").isNotNull() & F.col("__s._corrupt_record").isNull(), "not_json")]
-    out = validate_members(staged, lambda f: F.col("__s").getField(f),
-                           lambda f: F.array_contains(F.col("__k"), f), pre, "ms", keep)
+    parsed = envelope.select(*keep, F.from_json(F.col("value"), _MEMBERS_AS_TEXT, _JSON_OPTIONS).alias("__m"))
+    # last name first, so that a name's first place is its last member
+    named = parsed.select(*keep, F.reverse(F.map_keys("__m")).alias("__k"), F.reverse(F.map_values("__m")).alias("__v"))
+    # places count from one; an absent member's place is 0 and its text NULL
+    placed = named.select("*", *[F.array_position("__k", f).cast("int").alias(f"__at_{f}") for f in WIRE_FIELDS])
+    pre = [(F.col("value").isNotNull(), "value_null"), (F.col("__k").isNotNull(), "not_json")]
+    out = validate_members(placed, lambda f: F.get(F.col("__v"), F.col(f"__at_{f}") - 1),
+                           lambda f: F.col(f"__at_{f}") > 0, pre, "ms", keep)
     et = entry_time if entry_time is not None else F.unix_millis(F.current_timestamp())
     return out.withColumn("entry_time", et)
 
