@@ -27,7 +27,8 @@ Domains: toxic (toxic = 1), else good (quality = 1), else poor.
 Defined results: null counts as empty text (no tokens, rate as its posteriors
 say); labels with nulls in a needed column are not learned from; a domain
 without labelled rows has posterior zero; without any usable label all
-documents are of the first domain; repeated rows are returned each; an empty
+documents are of the first domain; repeated rows are returned each; of a
+labelled id's several texts the one with the least hash is learned from; an empty
 table gives no rows.  Only doc_id and text are read.
 """
 
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 from .textvec import BUCKETS, design, fit_softmax, profile, scores, softmax
-from .weak_quality import _clean, _features, sampled_rows
+from .weak_quality import _clean, _features, least_rows, sampled_rows
 
 DOMAINS = ("good", "poor", "toxic")
 #: Target shares of tokens.
@@ -70,9 +71,8 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     known = domain_labels(labels)
     # the sample is chosen among ids, so that only its texts are shuffled
     ids = sampled_rows(docs.select("doc_id").join(known, "doc_id"), SAMPLE).select("doc_id", "domain")
-    sample = (docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
-              .select("doc_id", "domain", _features(F.col("text")).alias("f")).select("doc_id", "domain", "f.*")
-              .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").toPandas())  # at most SAMPLE rows
+    texts = least_rows(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id"))
+    sample = (texts.select("doc_id", "domain", _features(F.col("text")).alias("f")).select("doc_id", "domain", "f.*").orderBy(F.xxhash64("doc_id"), "doc_id").toPandas())  # at most SAMPLE rows
     weights = np.zeros((BUCKETS + 9, len(DOMAINS)), np.float32)
     if not len(sample):
         weights[BUCKETS, 0] = 60

@@ -9,7 +9,8 @@ sample (``SAMPLE`` documents in order of a hash) and applied to every text.
 
 Defined results: null counts as empty (the length labeller calls it bad);
 repeated rows are returned each; null doc_ids keep their row but are not
-sampled; an empty table gives no rows.  Only doc_id and text are read.
+sampled; of a sampled id's several texts the one with the least hash is learned
+from; an empty table gives no rows.  Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -102,10 +103,18 @@ def _features(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"pattern": pattern(votes(p)), "stats": list(p.stats), "seen": [r.tobytes() for r in np.packbits(p.seen, axis=1)]})
 
 
+def least_rows(rows: DataFrame) -> DataFrame:
+    """One row of each doc_id, however the rows are dealt out: the least by a hash of its other columns."""
+    others = [c for c in rows.columns if c != "doc_id"]
+    return rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64(*others).alias("_hash"), *others)).alias("_row")).select(
+        "doc_id", *(F.col("_row")[c].alias(c) for c in others))
+
+
 def sampled_rows(rows: DataFrame, n: int) -> DataFrame:
-    """At most ``n`` rows of distinct doc_ids, the least by a hash of the id."""
+    """At most ``n`` rows of distinct doc_ids, the least by a hash of the id; of
+    several rows of an id the least by a hash of its other columns."""
     ids = rows.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    return rows.join(F.broadcast(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])  # at most n ids
+    return least_rows(rows.join(F.broadcast(ids), "doc_id", "left_semi"))  # at most n ids
 
 
 def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
