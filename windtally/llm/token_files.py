@@ -23,6 +23,7 @@ import re
 import sys
 import types
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,9 @@ from windtally.session import scratch_path
 from .common import stored, table, text_of
 
 END_ID = 0
-#: Words kept by each of the two generations of a worker's cache.
-CACHE_WORDS = 800_000
+#: Bytes that each of the two generations of a worker's cache may hold, what an entry
+#: takes beside its word and ids, and the longest word that is kept after its batch.
+CACHE_BYTES, ENTRY_BYTES, CACHE_WORD = 128 << 20, 100, 64
 _TWO_BLANKS = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _SOLID = re.compile(r" ?\S+")
@@ -72,6 +74,7 @@ class Encoder:
         self.line_feed = line_feed[0] if len(line_feed) == 1 else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0  # bytes in the young generation
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -105,15 +108,22 @@ class Encoder:
             words = _SAFE_CUT.split(t) if _TWO_BLANKS.search(t) else t.split(" ")
             words[0] = "\0" + words[0]
             cut.append(words)
-        if len(self.young) > CACHE_WORDS:
-            self.young, self.old = {}, self.young
+        if self.held > CACHE_BYTES:
+            self.young, self.old, self.held = {}, self.young, 0
         missing: set[str] = set()
         for words in cut:
             missing.update(set(words).difference(self.young))
+        known = len(self.young)
         if missing:
             self.learn(missing)
         get = self.young.__getitem__
-        return [strange.get(i) or b"".join(map(get, words)) for i, words in enumerate(cut)]
+        out = [strange.get(i) or b"".join(map(get, words)) for i, words in enumerate(cut)]
+        for w in list(islice(reversed(self.young), len(self.young) - known)):  # what this batch has added
+            if len(w) > CACHE_WORD:
+                del self.young[w]
+            else:
+                self.held += sys.getsizeof(w) + sys.getsizeof(self.young[w]) + ENTRY_BYTES
+        return out
 
     def learn(self, words: set[str]) -> None:
         """Put every word into the young generation, encoding what is in neither."""
@@ -216,15 +226,17 @@ def _write_partitions(folder: str, vocabulary: str, end_id: int):
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int = END_ID, partitions: int | None = None) -> DataFrame:
     """Write the files and return the manifest ``(part, n_docs, n_tokens, n_null, width, base)``.
 
-    Texts are shuffled once, by ranges of doc_id (ties by a hash of the text,
-    so a doc_id that repeats often spreads), and encoded where they arrive."""
+    Texts are shuffled once, by ranges of doc_id (ties by a hash of the text and
+    then by the row's place in the input, so a doc_id or a row that repeats often
+    spreads), and encoded where they arrive.  Equal rows are interchangeable;
+    ``docs`` should be read from files, where places are the same if a task is run again."""
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
     order = [F.asc_nulls_first("doc_id"), F.asc("tie"), F.asc("text")]
-    rows = docs.select("doc_id", text_of().alias("text")).withColumn("tie", F.xxhash64("text"))
-    ordered = rows.repartitionByRange(n, *order[:2]).sortWithinPartitions(*order).select("doc_id", "text")
+    rows = docs.select("doc_id", text_of().alias("text")).withColumn("tie", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(n, *order[:2], F.asc("place")).sortWithinPartitions(*order).select("doc_id", "text")
     counts = ordered.mapInArrow(_write_partitions(folder, vocabulary or default_vocabulary(), end_id),
                                 "part int, n_docs long, n_tokens long, n_null long, width int")
     counts = stored(counts, "token-counts")
