@@ -5,7 +5,8 @@ wildcards by their form, other segments by statistics, level by level:
 
 * a node with many rare children is a variable: its rare children become ``*``;
 * children whose labelled share of good pages does not differ from that of
-  their siblings (a two-sided z test at ``Z``) are merged into ``*``.
+  their siblings (a two-sided z test at ``Z``) are merged into ``*``; so are
+  children without labels if two of their siblings have some.
 
 A template is rejected if its labelled purity, smoothed towards the overall
 share with ``PRIOR`` pseudo-pages, is below ``PURITY``.  Explicit rules
@@ -92,13 +93,14 @@ def template_tree(counts: DataFrame) -> DataFrame:
         rare = (F.col("n") < RARE) & ~F.col("child").contains("<")
         node = child.groupBy("host", "template").agg(
             F.sum(rare.cast("int")).alias("rare"), F.count(F.lit(1)).alias("kids"), F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"),
+            F.sum((F.col("good") + F.col("bad") > 0).cast("int")).alias("labelled"),
             F.min("straight").alias("single"))
         judged = child.drop("straight").join(node, ["host", "template"])
         seen = F.col("good") + F.col("bad")
         share = (F.col("all_good") + 1) / (F.col("all_good") + F.col("all_bad") + 2)
         z = F.abs(F.col("good") - seen * share) / F.sqrt(seen * share * (1 - share) + 1e-9)
         variable = rare & (F.col("rare") >= MANY)
-        similar = (F.col("kids") > 1) & (seen > 0) & (z < Z)
+        similar = (F.col("kids") > 1) & (z < Z) & ((seen > 0) | (F.col("labelled") > 1))
         named = judged.select(
             F.col("host").alias("_h"), F.col("template").alias("_t"), F.col("child").alias("_c"), "greatest", "single",
             F.when(variable | similar, F.lit("*")).otherwise(F.col("child")).alias("step"))
