@@ -8,7 +8,7 @@ share of the template it covers.  A chain that spans two templates or more (a
 text that repeats parts of one) is taken apart into stretches of one template's length,
 twice, the second time half a length further on, and those that are verified stay.  A phrase whose grams all vote on one
 diagonal stands there word for word.  A place matches by chance one of the
-some 150 template hashes at odds of 150 / 2**64, that is 2e-4 false votes in
+some 900 template hashes at odds of 900 / 2**64, that is 1e-3 false votes in
 2e13 words.
 
 Defined results: null and empty texts have no words and no places; repeated
@@ -31,15 +31,32 @@ PHRASES = [
     ("cc by", "cc-by"),
     ("mit license", "mit"),
 ]
-# Well-known opening passages of public licenses.
+# Paragraphs of public licenses, and the notices that go with the longer ones.
 PASSAGES = [
+    ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions", "mit"),
+    ("the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "mit"),
+    ("the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
     ("licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "apache"),
+    ("unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license", "apache"),
+    ("subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works of publicly display publicly perform sublicense and distribute the work and such derivative works in source or object form", "apache"),
     ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "gpl"),
+    ("this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details", "gpl"),
+    ("you should have received a copy of the gnu general public license along with this program", "gpl"),
+    ("the gnu general public license is a free copyleft license for software and other kinds of works", "gpl"),
+    ("everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", "gpl"),
     ("this work is licensed under the gnu general public license version 3", "gpl"),
     ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by"),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
+    ("redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "bsd"),
+    ("redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", "bsd"),
+    ("neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "bsd"),
+    ("this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage", "bsd"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "isc"),
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl"),
+    ("if a copy of the mpl was not distributed with this file you can obtain one at", "mpl"),
+    ("this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means", "unlicense"),
+    ("permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions", "zlib"),
 ]
 GRAM = 3
 #: Diagonals this near belong together.
