@@ -38,7 +38,7 @@ from .common import stored, table, text_of
 END_ID = 0
 #: Bytes that each of the two generations of a worker's cache may hold, what an entry
 #: takes beside its word and ids, and the longest word that is kept after its batch.
-CACHE_BYTES, ENTRY_BYTES, CACHE_WORD = 128 << 20, 100, 64
+CACHE_BYTES, ENTRY_BYTES, CACHE_WORD = 160 << 20, 100, 64
 _TWO_BLANKS = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _SOLID = re.compile(r" ?\S+")
@@ -118,11 +118,11 @@ class Encoder:
             self.learn(missing)
         get = self.young.__getitem__
         out = [strange.get(i) or b"".join(map(get, words)) for i, words in enumerate(cut)]
-        for w in list(islice(reversed(self.young), len(self.young) - known)):  # what this batch has added
-            if len(w) > CACHE_WORD:
-                del self.young[w]
-            else:
-                self.held += sys.getsizeof(w) + sys.getsizeof(self.young[w]) + ENTRY_BYTES
+        added = list(islice(reversed(self.young), len(self.young) - known))  # by this batch
+        for w in [w for w in added if len(w) > CACHE_WORD]:
+            del self.young[w]
+        kept = [w for w in added if len(w) <= CACHE_WORD]
+        self.held += sum(map(sys.getsizeof, kept)) + sum(map(sys.getsizeof, map(self.young.__getitem__, kept))) + ENTRY_BYTES * len(kept)
         return out
 
     def learn(self, words: set[str]) -> None:
