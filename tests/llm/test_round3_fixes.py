@@ -97,3 +97,18 @@ def test_each_license_paragraph_is_found_alone_and_edited(spark):
     assert not any(got[200 + i].labels for i, (t, _) in enumerate(license_diagonals.PASSAGES)
                    if t not in ("",) and "gnu general public license" not in " ".join(t.split()[:len(t.split()) // 4])
                    and "apache license" not in " ".join(t.split()[:len(t.split()) // 4]) and not t.startswith("permission is hereby granted"))
+
+
+def test_cache_holds_words_without_their_marks():
+    encoder = token_files.Encoder(token_files.default_vocabulary())
+    r = random.Random(4)
+    parts = ["Ein", "wörd", "l'eau", "Ω", "x1", "7", "á", ".", ",", ").", "?!", "'s", "'", " ", " ", " ", "\n", "\n", "　", "\x1c", "€"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(4000)] + ["", "\n", " ", ".", "a.\n", "\na. b.\n\nc (d). e."]
+    plain = encoder.whole(texts)
+    assert [x for lo in range(0, len(texts), 700) for x in encoder.encode(texts[lo:lo + 700])] == plain
+    some = token_files.Encoder(token_files.default_vocabulary())
+    some.encode(["Ein Wort.\nDer, (die) Tür!\nDas Ende."])
+    assert {w for w in some.young if w.strip("\0").rstrip(".,!)") != w.strip("\0") and w.strip("\0.,!)")} == set()
+    some.young, some.old = {}, some.young
+    some.end_task()
+    assert not some.old  # an idle worker keeps one generation

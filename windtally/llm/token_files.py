@@ -27,6 +27,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,13 +37,18 @@ from windtally.session import scratch_path
 from .common import stored, table, text_of
 
 END_ID = 0
-#: Bytes that each of the two generations of a worker's cache may hold, what an entry
-#: takes beside its word and ids, and the longest word that is kept after its batch.
-CACHE_BYTES, ENTRY_BYTES, CACHE_WORD = 160 << 20, 100, 64
+#: Bytes that each of the two generations of a worker's cache may hold (the older one is
+#: dropped when a task ends: a worker lives on, and other stages share its executor), what an
+#: entry takes beside its word and ids, and the longest word that is kept after its batch.
+CACHE_BYTES, ENTRY_BYTES, CACHE_WORD = 64 << 20, 100, 64
+#: Texts are encoded together up to so many bytes and rows.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 4096
 _TWO_BLANKS = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _SOLID = re.compile(r" ?\S+")
 _MARKS = ".,;:!?\"'()[]{}|-*&%$#"
+#: Marks that end a word after a letter.
+_LAST_MARKS = rf"(\pL)([{re.escape(_MARKS)}]+)( |$)"
 
 
 def default_vocabulary() -> str:
@@ -98,33 +104,53 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self.whole(texts)
-        # a word stands for itself with the blank before it; a text's first word is kept under a leading NUL
-        cut = []
+        # a word stands for itself with the blank before it; what follows no blank (a text's
+        # first word, a lone line feed and the word after it, marks after a word) is kept under a leading NUL
         strange = {i: b for i, b in enumerate(self.whole([t])[0] if "\0" in t else None for t in texts) if b is not None}
-        for i, t in enumerate(texts):
-            if i in strange:
-                cut.append([])
-                continue
-            words = _SAFE_CUT.split(t) if _TWO_BLANKS.search(t) else t.split(" ")
-            words[0] = "\0" + words[0]
-            cut.append(words)
+        spaced = {i: _SAFE_CUT.split("\0" + t) for i, t in enumerate(texts) if i not in strange and (t[:1].isspace() or t[-1:].isspace() or _TWO_BLANKS.search(t))}
+        even = ["\0" + t.replace("\n", " \0\n \0") for i, t in enumerate(texts) if i not in strange and i not in spaced]
+        lists = pc.split_pattern(pc.replace_substring_regex(pa.array(even, pa.large_string()), _LAST_MARKS, "\\1 \0\\2\\3"), " ")
+        words = pa.concat_arrays([lists.flatten(), pa.array([w for x in spaced.values() for w in x], pa.large_string())]).dictionary_encode()
+        counts = iter(pc.list_value_length(lists).to_pylist())
+        sizes = [0 if i in strange else len(spaced[i]) if i in spaced else next(counts) for i in range(len(texts))]
+        order = [i for i in range(len(texts)) if i not in strange and i not in spaced] + list(spaced)
+
         if self.held > CACHE_BYTES:
             self.young, self.old, self.held = {}, self.young, 0
-        missing: set[str] = set()
-        for words in cut:
-            missing.update(set(words).difference(self.young))
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = len(self.young)
+        missing = {w for w in distinct if w not in self.young}
         if missing:
             self.learn(missing)
-        get = self.young.__getitem__
-        out = [strange.get(i) or b"".join(map(get, words)) for i, words in enumerate(cut)]
+        ids = list(map(self.young.__getitem__, distinct))
         added = list(islice(reversed(self.young), len(self.young) - known))  # by this batch
         for w in [w for w in added if len(w) > CACHE_WORD]:
             del self.young[w]
         kept = [w for w in added if len(w) <= CACHE_WORD]
         self.held += sum(map(sys.getsizeof, kept)) + sum(map(sys.getsizeof, map(self.young.__getitem__, kept))) + ENTRY_BYTES * len(kept)
+
+        # every word's ids, gathered from those of the distinct words
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        starts = np.cumsum(lengths) - lengths
+        at = words.indices.to_numpy()
+        spans = lengths[at]
+        ends = np.cumsum(spans)
+        every = flat[np.repeat(starts[at] - ends + spans, spans) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.append(0, ends)
+        out, first = [b""] * len(texts), 0
+        for i in order:
+            last = first + sizes[i]
+            out[i] = every[ends[first]:ends[last]].tobytes()
+            first = last
+        for i, b in strange.items():
+            out[i] = b
         return out
 
+    def end_task(self) -> None:
+        """Drop the older generation: at most ``CACHE_BYTES`` and one batch stay until the worker's next task."""
+        self.old = {}
+
     def learn(self, words: set[str]) -> None:
         """Put every word into the young generation, encoding what is in neither."""
         young, old = self.young, self.old
@@ -188,6 +214,15 @@ def _filesystem(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
+def _text_batches(texts: pa.Array) -> list[tuple[int, int]]:
+    """Row ranges of at most ``BATCH_ROWS`` rows, cut where ``BATCH_BYTES`` more bytes have begun."""
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = np.arange(len(size))
+    cuts = np.flatnonzero(np.diff(size // BATCH_BYTES)) + 1
+    edges = sorted({0, *cuts.tolist(), *at[::BATCH_ROWS].tolist(), len(size)})
+    return list(zip(edges, edges[1:]))
+
+
 def _write_partitions(folder: str, vocabulary: str, end_id: int):
     def write(batches):
         task = TaskContext.get()
@@ -207,14 +242,15 @@ def _write_partitions(folder: str, vocabulary: str, end_id: int):
             ids = b.column(0).cast(pa.int64())
             n_null += ids.null_count
             sink["docs"].write(ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-            for lo in range(0, b.num_rows, 256):
-                coded = encoder.encode(b.column(1).slice(lo, 256).to_pylist())
+            for lo, hi in _text_batches(b.column(1)):
+                coded = encoder.encode(b.column(1).slice(lo, hi - lo).to_pylist())
                 lengths = np.array([len(x) // encoder.kind.itemsize + 1 for x in coded], np.uint64)
                 sink["tokens"].write(b"".join(y for x in coded for y in (x, end)))
                 sink["offsets"].write((np.cumsum(lengths) + np.uint64(n_tokens)).astype("<u8").tobytes())
                 n_tokens += int(lengths.sum())
             n_docs += b.num_rows
         if files is not None:
+            encoder.end_task()
             for k, s in sink.items():
                 s.close()
                 files.move(f"{at}/{k}-{part:05d}.bin.{attempt}", f"{at}/{k}-{part:05d}.bin")
