@@ -42,7 +42,7 @@ END_ID = 0
 #: entry takes beside its word and ids, and the longest word that is kept after its batch.
 CACHE_BYTES, ENTRY_BYTES, CACHE_WORD = 64 << 20, 100, 64
 #: Texts are encoded together up to so many bytes and rows.
-BATCH_BYTES, BATCH_ROWS = 4 << 20, 4096
+BATCH_BYTES, BATCH_ROWS = 2 << 20, 4096
 _TWO_BLANKS = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _SOLID = re.compile(r" ?\S+")
@@ -92,7 +92,8 @@ class Encoder:
         solid = [i for i, p in enumerate(parts) if _SOLID.fullmatch(p)] if self.line_feed is not None else []
         groups = [solid[lo:lo + 1000] for lo in range(0, len(solid), 1000)]
         width = self.kind.itemsize
-        for some, data in zip(groups, self.whole(["\n".join([parts[i] for i in g]) for g in groups]) if groups else []):
+        for some in groups:  # one at a time: the library's results take many times the ids' memory
+            data, = self.whole(["\n".join([parts[i] for i in some])])
             cuts = np.flatnonzero(np.frombuffer(data, self.kind) == self.line_feed) * width
             for i, a, b in zip(some, [0, *(cuts + width).tolist()], [*cuts.tolist(), len(data)]):
                 out[i] = data[a:b]
@@ -150,6 +151,7 @@ class Encoder:
     def end_task(self) -> None:
         """Drop the older generation: at most ``CACHE_BYTES`` and one batch stay until the worker's next task."""
         self.old = {}
+        pa.default_memory_pool().release_unused()
 
     def learn(self, words: set[str]) -> None:
         """Put every word into the young generation, encoding what is in neither."""
